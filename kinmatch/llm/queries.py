@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, suffixes
 from .common import table
 
 
@@ -14,8 +14,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
