@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, suffixes
+from . import lines, mixing, simhash, suffixes
 from .common import table
 
 
@@ -19,9 +19,22 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest_columns(lines.without_repeated_units(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op8_mixing": mixing.ORACLE,
+    "op9_line_dedup": lines.ORACLE,
+}
