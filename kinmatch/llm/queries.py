@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, simhash, suffixes
+from . import lines, mixing, packing, simhash, suffixes
 from .common import table
 
 
@@ -27,11 +27,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest_columns(lines.without_repeated_units(table(spark, sf_dir, "documents")))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
