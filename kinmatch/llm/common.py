@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -13,19 +16,36 @@ from pyspark.sql import functions as F
 LAST_ID = (1 << 63) - 1
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder, with its lineage cut.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests in local mode) a temporary folder is used.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that is unset (tests in local mode), a temporary folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinmatch-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinmatch-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, with its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``checkpointed``, as a Parquet table: smaller, and read by column. It goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_drop, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone; then the cluster cleans its folder
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,9 +13,13 @@ two or more members go on to the next digit:
    one content is done.
 3. Only runs whose anchor has several contents go on, to the last digit: each
    window's ``depth`` bytes, as two 64-bit hashes. Equal groups are exactly
-   the repeated windows; all but the earliest start are repeats.
+   the repeated windows; all but the earliest start are repeats. The runs of an
+   anchor meet in one task, as bytes; those of an anchor with more than
+   ``TOGETHER`` contents are dealt window by window instead, wherever that
+   window's hash leads, so no anchor is too large for a task.
 
-Digits are compared by 64-bit hashes, 128 bits together in passes 2 and 3.
+Digits are compared by hashes, of 64 bits in pass 1, 96 bits together in pass 2
+and 128 bits in pass 3.
 """
 
 from __future__ import annotations
@@ -28,17 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, POWERS_B, Prefix, batch, checkpointed, identified, mix, shuffle_partitions, sliding_min
+from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, identified, mix, shuffle_partitions, sliding_min, stored
 
 GRAM = 32
 _LOW = np.uint64(0xFFFFFFFF)
 #: Bytes hashed at once; longer texts are cut into pieces that overlap by a window.
-_CHUNK = 1 << 18
+CHUNK = 1 << 18
+#: Contents of an anchor from which on its windows are dealt one by one.
+TOGETHER = 20_000
 _REPEAT, _OPEN = 1, 2
 
 
-def _pieces(texts: list[bytes], depth: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole texts, long ones in pieces, joined to about _CHUNK bytes: data, rows, offsets in the row's text, lengths."""
+def _pieces(texts: list[bytes], depth: int, chunk: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole texts, long ones in pieces, joined to about ``chunk`` bytes: data, rows, offsets in the row's text, lengths."""
     parts: list[bytes] = []
     rows: list[int] = []
     offsets: list[int] = []
@@ -50,13 +56,13 @@ def _pieces(texts: list[bytes], depth: int) -> Iterator[tuple[bytes, np.ndarray,
     for row, t in enumerate(texts):
         if len(t) < depth:
             continue
-        for at in range(0, len(t) - depth + 1, _CHUNK):
-            piece = t[at : at + _CHUNK + depth - 1]
+        for at in range(0, len(t) - depth + 1, chunk):
+            piece = t[at : at + chunk + depth - 1]
             parts.append(piece)
             rows.append(row)
             offsets.append(at)
             total += len(piece)
-            if total >= _CHUNK:
+            if total >= chunk:
                 yield out()
                 parts, rows, offsets, total = [], [], [], 0
     if parts:
@@ -107,7 +113,7 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def repeated_starts(docs: DataFrame, depth: int = 100) -> DataFrame:
+def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> DataFrame:
     """(did, tid, start, n): the n windows from byte start on also start earlier.
 
     ``docs`` is what ``identified`` returns. Earlier means a smaller
@@ -116,25 +122,26 @@ def repeated_starts(docs: DataFrame, depth: int = 100) -> DataFrame:
     if depth < GRAM:
         raise ValueError(f"depth must be at least {GRAM}")
     parts = shuffle_partitions(docs.sparkSession)
-    schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("sure", pa.bool_())])
+    schema = pa.schema([("key", pa.int64()), ("content", pa.int32()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16()), ("sure", pa.bool_())])
 
     def first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             did, tid = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for data, rows, offsets, lengths in _pieces(_bytes(b.column(2)), depth):
+            for data, rows, offsets, lengths in _pieces(_bytes(b.column(2)), depth, chunk):
                 key, content, piece, start, n = _window_runs(data, lengths, depth)
                 start = start - (np.cumsum(lengths) - lengths)[piece] + offsets[piece]
                 d, t = did[rows[piece]], tid[rows[piece]]
+                content = (content >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 # Of runs equal in both digits here, only the earliest goes on; the others are repeats already.
                 order = np.lexsort((start, t, d, content, key))
                 key, content, d, t, start, n = (x[order] for x in (key, content, d, t, start, n))
                 sure = _later(_changes(key, content), d, t, start)
                 key[sure] = mix(d[sure].view(np.uint64))  # spread, as they need no company
-                yield batch(schema, key=key.view(np.int64), content=content.view(np.int64), did=d, tid=t, start=start, n=n.astype(np.int32), sure=sure)
+                yield batch(schema, key=key.view(np.int64), content=content, did=d, tid=t, start=start, n=n.astype(np.int16), sure=sure)
 
-    found = docs.select("did", "tid", "text").mapInArrow(first_digits, "key long, content long, did long, tid long, start long, n int, sure boolean")
+    found = docs.select("did", "tid", "text").mapInArrow(first_digits, "key long, content int, did long, tid long, start long, n smallint, sure boolean")
     found = found.repartition(parts, "key").sortWithinPartitions("sure", "key", "content", "did", "tid", "start")
-    schema_2 = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("kind", pa.int8())])
+    schema_2 = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16()), ("kind", pa.int8()), ("key", pa.int64())])
 
     def second_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Streams over sorted rows; the first row of the latest content stays for the next batch."""
@@ -143,7 +150,7 @@ def repeated_starts(docs: DataFrame, depth: int = 100) -> DataFrame:
             c = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
             sure = c[6]
             if sure.any():
-                yield batch(schema_2, did=c[2][sure], tid=c[3][sure], start=c[4][sure], n=c[5][sure], kind=np.full(sure.sum(), _REPEAT, np.int8))
+                yield batch(schema_2, did=c[2][sure], tid=c[3][sure], start=c[4][sure], n=c[5][sure], kind=np.full(sure.sum(), _REPEAT, np.int8), key=np.zeros(sure.sum(), np.int64))
             c = [x[~sure] for x in c]
             if not len(c[0]):
                 continue
@@ -160,58 +167,114 @@ def repeated_starts(docs: DataFrame, depth: int = 100) -> DataFrame:
             repeat = _later(first, did, tid, start)
             out = repeat | ask
             if out.any():
-                yield batch(schema_2, did=did[out], tid=tid[out], start=start[out], n=n[out], kind=np.where(repeat[out], _REPEAT, _OPEN).astype(np.int8))
+                yield batch(schema_2, did=did[out], tid=tid[out], start=start[out], n=n[out], kind=np.where(repeat[out], _REPEAT, _OPEN).astype(np.int8), key=np.where(repeat[out], 0, key[out]))
             k = int(np.flatnonzero(first)[-1])
             head, several_before, sent = [x[k : k + 1] for x in c], bool(several[-1]), bool(several[-1])
 
-    state = checkpointed(found.mapInArrow(second_digits, "did long, tid long, start long, n int, kind tinyint"))
-    asked = state.where(F.col("kind") == _OPEN).groupBy("did", "tid").agg(F.collect_list(F.struct("start", "n")).alias("asked"))
-    schema_3 = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64())])
+    state = stored(found.mapInArrow(second_digits, "did long, tid long, start long, n smallint, kind tinyint, key long"))
+    asked = state.where(F.col("kind") == _OPEN)
+    crowded = asked.groupBy("key").count().where(F.col("count") > TOGETHER).select("key", F.lit(True).alias("crowded"))
+    asked = asked.join(crowded, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    asked = asked.groupBy("did", "tid").agg(F.collect_list(F.struct("start", "n", "key", "crowded")).alias("asked"))
+    schema_3 = pa.schema([("crowded", pa.bool_()), ("h", pa.int64()), ("g", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("data", pa.binary())])
 
     def last_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs as bytes under their anchor's hash; those of crowded anchors as windows under the windows' hashes."""
         for b in batches:
             did, tid = b.column(0).to_numpy(), b.column(1).to_numpy()
-            texts = _bytes(b.column(2))
             lists = b.column(3)
             bounds, flat = lists.offsets.to_numpy(), lists.values
-            first, count = flat.field("start").to_numpy(), flat.field("n").to_numpy()
-            for k, text in enumerate(texts):
-                s, n = first[bounds[k] : bounds[k + 1]], count[bounds[k] : bounds[k + 1]].astype(np.int64)
-                for at in range(0, len(text), _CHUNK):  # starts of this piece
-                    here = (s >= at) & (s < at + _CHUNK)
-                    if not here.any():
+            first, count, key = (flat.field(c).to_numpy() for c in ("start", "n", "key"))
+            alone = flat.field("crowded").to_numpy(zero_copy_only=False)
+            rows: list[list] = [[], [], [], [], []]
+            for k, text in enumerate(_bytes(b.column(2))):
+                for i in range(bounds[k], bounds[k + 1]):
+                    s = int(first[i])
+                    data = text[s : s + int(count[i]) + depth - 1]
+                    if not alone[i]:
+                        for o, x in zip(rows, (key[i], did[k], tid[k], s, data), strict=True):
+                            o.append(x)
                         continue
-                    a, m = s[here], n[here]
-                    top = int((a + m).max()) + depth
-                    raw = BYTE_VALUES[np.frombuffer(text[at:top], np.uint8)]
-                    starts = np.repeat(a - np.append(0, np.cumsum(m)[:-1]), m) + np.arange(m.sum())
-                    local = starts - at
-                    h = mix(Prefix(raw).at(local, local + depth))
-                    g = mix(Prefix(raw, POWERS_B).at(local, local + depth))
-                    yield batch(schema_3, h=h.view(np.int64), g=g.view(np.int64), did=np.full(len(h), did[k]), tid=np.full(len(h), tid[k]), start=starts)
-
-    windows = docs.select("did", "tid", "text")
-    windows = windows.join(asked, ["did", "tid"]).select("did", "tid", "text", "asked")
-    windows = windows.mapInArrow(last_digit, "h long, g long, did long, tid long, start long")
-    windows = windows.repartition(parts, "h", "g").sortWithinPartitions("h", "g", "did", "tid", "start")
+                    h, g = _window_hashes(data, depth)
+                    n = len(h)
+                    yield batch(schema_3, crowded=np.ones(n, bool), h=h.view(np.int64), g=g.view(np.int64), did=np.full(n, did[k]), tid=np.full(n, tid[k]), start=np.arange(s, s + n), data=pa.nulls(n, pa.binary()))
+            n = len(rows[0])
+            yield batch(schema_3, crowded=np.zeros(n, bool), h=rows[0], g=np.zeros(n, np.int64), did=rows[1], tid=rows[2], start=rows[3], data=rows[4])
+
+    windows = docs.join(asked, ["did", "tid"]).select("did", "tid", "text", "asked")
+    windows = windows.mapInArrow(last_digit, "crowded boolean, h long, g long, did long, tid long, start long, data binary")
+    windows = windows.repartition(parts, "h", "g").sortWithinPartitions("crowded", "h", "g", "did", "tid", "start")
+    schema_4 = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16())])
 
     def equal_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
+        head, held = None, []
         for b in batches:
-            c = [b.column(k).to_numpy() for k in range(5)]
-            if not len(c[0]):
-                continue
-            if head is not None:
-                c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
-            first = _changes(c[0], c[1])
-            out = _later(first, *c[2:])
-            if out.any():
-                yield batch(schema_2, did=c[2][out], tid=c[3][out], start=c[4][out], n=np.ones(out.sum(), np.int32), kind=np.full(out.sum(), _REPEAT, np.int8))
-            k = int(np.flatnonzero(first)[-1])
-            head = [x[k : k + 1] for x in c]
-
-    late = windows.mapInArrow(equal_groups, "did long, tid long, start long, n int, kind tinyint")
-    return state.where(F.col("kind") == _REPEAT).unionByName(late).select("did", "tid", "start", "n")
+            crowded = b.column(0).to_numpy(zero_copy_only=False)
+            if not crowded.all():  # runs: whole anchors at a time
+                own = b.filter(pa.array(~crowded))
+                key = own.column(1).to_numpy()
+                cut = int(np.searchsorted(key, key[-1])) if not crowded.any() else len(key)
+                # equal keys lie together in sorted order; the last one's runs may go on
+                if cut:
+                    yield from _repeats_of_runs([*held, own.slice(0, cut)], depth, schema_4)
+                    held = []
+                if cut < len(key):
+                    if held and held[-1].column(1)[0].as_py() != key[-1]:
+                        yield from _repeats_of_runs(held, depth, schema_4)
+                        held = []
+                    held.append(own.slice(cut))
+            if crowded.any():
+                if held:
+                    yield from _repeats_of_runs(held, depth, schema_4)
+                    held = []
+                b = b.filter(pa.array(crowded))
+                c = [b.column(k).to_numpy() for k in range(1, 6)]
+                if head is not None:
+                    c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
+                first = _changes(c[0], c[1])
+                out = _later(first, *c[2:])
+                if out.any():
+                    yield batch(schema_4, did=c[2][out], tid=c[3][out], start=c[4][out], n=np.ones(out.sum(), np.int16))
+                k = int(np.flatnonzero(first)[-1])
+                head = [x[k : k + 1] for x in c]
+        if held:
+            yield from _repeats_of_runs(held, depth, schema_4)
+
+    late = windows.mapInArrow(equal_groups, "did long, tid long, start long, n smallint")
+    return state.where(F.col("kind") == _REPEAT).select("did", "tid", "start", "n").unionByName(late)
+
+
+def _window_hashes(data: bytes, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = BYTE_VALUES[np.frombuffer(data, np.uint8)]
+    return mix(Prefix(raw).grams(depth)), mix(Prefix(raw, POWERS_B).grams(depth))
+
+
+def _repeats_of_runs(tables: list[pa.RecordBatch], depth: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Repeated windows within the anchors of some runs, which come in the order of anchor, did, tid, start."""
+    t = pa.Table.from_batches(tables).combine_chunks()
+    did, tid, start = (t[c].to_numpy() for c in ("did", "tid", "start"))
+    data = t["data"].to_pylist()
+    size = np.array([len(x) for x in data], np.int64)
+    h, g = _window_hashes(b"".join(data), depth)
+    ends = np.cumsum(size)
+    count = size - depth + 1
+    run = np.repeat(np.arange(len(size)), count)
+    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = (ends - size)[run] + inner
+    h, g = h[at], g[at]
+    order = np.lexsort((g, h)) if len(h) else np.zeros(0, np.int64)
+    r, w = run[order], start[run[order]] + inner[order]
+    again = np.zeros(len(h), bool)
+    again[order] = _later(_changes(h[order], g[order]), did[r], tid[r], w)
+    # neighbouring windows of a run as one row
+    new = again.copy()
+    new[1:] &= ~again[:-1] | (run[1:] != run[:-1])
+    first = np.flatnonzero(new)
+    if not len(first):
+        return
+    total = np.add.reduceat(again.astype(np.int64), first)
+    # a row's windows are the repeats up to the next row's start
+    yield batch(schema, did=did[run[first]], tid=tid[run[first]], start=start[run[first]] + inner[first], n=total.astype(np.int16))
 
 
 def covered(starts: np.ndarray, counts: np.ndarray, depth: int) -> list[tuple[int, int]]:
@@ -227,7 +290,7 @@ def covered(starts: np.ndarray, counts: np.ndarray, depth: int) -> list[tuple[in
     return list(zip(a[first].tolist(), z[np.append(first[1:], len(a)) - 1].tolist(), strict=True))
 
 
-def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Removes each byte covered by a ``depth``-byte string that starts earlier too.
 
     Returns doc_id, n_bytes, n_removed, spans (array of byte ranges start, stop),
@@ -235,11 +298,14 @@ def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False)
     for each row. A null text counts as empty. Texts shorter than
     ``depth`` bytes lose nothing. Rows equal in doc_id and text are one
     document; of texts with one doc_id the one with the smaller hash comes
-    first; a null doc_id comes last. Other columns are not read. No rows give
+    first; a null doc_id comes last (so 2**63 - 1 reads as null). Other columns are not read. No rows give
     no rows.
     """
-    named = identified(docs)
-    starts = repeated_starts(named.select("did", "tid", "text"), depth)
+    named = identified(docs).select("did", "tid", "text")
+    # only texts that share a doc_id need telling apart
+    if named.groupBy("did").agg((F.min("tid") < F.max("tid")).alias("differ")).where("differ").isEmpty():
+        named = named.withColumn("tid", F.lit(0).cast("long"))
+    starts = repeated_starts(named, depth, chunk)
     found = starts.groupBy("did", "tid").agg(F.collect_list(F.struct("start", "n")).alias("found"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", span), ("kept_sha256", pa.string()), ("kept", pa.binary())])
@@ -265,6 +331,6 @@ def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False)
             removed = [sum(x["stop"] - x["start"] for x in s) for s in spans]
             yield batch(schema, doc_id=b.column(0), n_bytes=n, n_removed=removed, spans=spans, kept_sha256=digests, kept=kept)
 
-    joined = named.join(found, ["did", "tid"], "left").select("doc_id", "text", "found")
+    joined = named.join(found, ["did", "tid"], "left").select(F.when(F.col("did") < LAST_ID, F.col("did")).alias("doc_id"), "text", "found")
     out = joined.mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept_sha256 string, kept binary")
     return out if with_text else out.drop("kept")

@@ -25,21 +25,21 @@ def brute(rows, depth=100):
     return out
 
 
-def run(spark, rows, depth=100):
+def run(spark, rows, depth=100, **kw):
     df = spark.createDataFrame([(i, t, 7, 8, "n") for i, t in rows], SCHEMA)
-    return [(x.doc_id, (x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256)) for x in suffixes.without_repeats(df, depth).collect()]
+    return [(x.doc_id, (x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256)) for x in suffixes.without_repeats(df, depth, **kw).collect()]
 
 
-@pytest.mark.parametrize("chunk", [1 << 18, 257])
-def test_against_brute_force(spark, monkeypatch, chunk):
-    monkeypatch.setattr(suffixes, "_CHUNK", chunk)
+@pytest.mark.parametrize("chunk,together", [(1 << 18, 20_000), (257, 3), (1 << 18, 0)])
+def test_against_brute_force(spark, monkeypatch, chunk, together):
+    monkeypatch.setattr(suffixes, "TOGETHER", together)
     r = random.Random(chunk)
     text = lambda n: "".join(r.choices("abé \n", k=n))
     passages = [text(n) for n in (90, 100, 101, 130, 260, 700)]
     rows = [(i, text(r.randrange(0, 400)) + r.choice(passages) + text(r.randrange(0, 200)) + r.choice([*passages, ""])) for i in range(40)]
     rows += [(100, rows[3][1]), (101, rows[3][1]), (102, rows[5][1][:-3] + "zz"), (103, "a" * 350), (104, "ab" * 300), (105, None), (106, ""), (107, "a" * 99), (108, "a" * 100)]
     rows += [(200 + i, passages[4] + text(3)) for i in range(30)] + [(None, rows[4][1])]
-    assert dict(run(spark, rows)) == brute(rows)
+    assert dict(run(spark, rows, chunk=chunk)) == brute(rows)
 
 
 def test_other_depths_and_limits(spark):
