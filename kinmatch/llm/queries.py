@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, packing, simhash, suffixes
+from . import language, lines, mixing, packing, pages, simhash, suffixes, syncmers
 from .common import table
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -32,6 +44,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_syncmers": op2_syncmers,
+    "op3_html": op3_html,
+    "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
