@@ -8,12 +8,30 @@ task. Edges stay on the executors; only two numbers a round reach the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest's worth of links with the same components as links a-b."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = np.arange(len(nodes))
+    for i, j in zip(flat[: len(a)].tolist(), flat[len(a) :].tolist(), strict=True):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        while parent[j] != j:
+            parent[j] = parent[parent[j]]
+            j = parent[j]
+        if i != j:
+            parent[max(i, j)] = min(i, j)
+    linked = np.flatnonzero(parent != np.arange(len(nodes)))
+    return nodes[linked], nodes[parent[linked]]
+
+
 def _hook(pairs: DataFrame, *, small: bool) -> DataFrame:
     """One star step over directed pairs (u, v): v, or u's smaller neighbours, to u's minimum."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixing, packing, pages, simhash, suffixes, syncmers
+from . import embeddings, language, lines, mixing, packing, pages, simhash, suffixes, syncmers, tokens
 from .common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -17,6 +21,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -44,8 +52,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_syncmers": op2_syncmers,
     "op3_html": op3_html,
+    "op4_embeddings": op4_embeddings,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,

@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch, checkpointed, runs, shuffle_partitions
-from .components import connected_components
+from .common import LAST_ID, batch, checkpointed, runs, shuffle_partitions
+from .components import connected_components, roots
 
 BYTES = 8
 
@@ -32,16 +32,16 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a long) of every whole text; no row is dropped."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def with_fingerprints(docs: DataFrame, words_per_shingle: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long) of every whole text and the columns (long) of ``carry``; no row is dropped."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "fp", *carry)])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield batch(schema, doc_id=b.column(0), fp=pa.array(fps.view(np.int64)))
+            yield batch(schema, doc_id=b.column(0), fp=pa.array(fps.view(np.int64)), **{c: b.column(2 + k) for k, c in enumerate(carry)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(apply, ", ".join(f"{c} long" for c in schema.names))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -53,23 +53,6 @@ def _shared_bytes(x: np.ndarray) -> np.ndarray:
     return (np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape, BYTES) == 0).sum(axis=-1)
 
 
-def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest's worth of links with the same components as links a-b."""
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    parent = np.arange(len(nodes))
-    for i, j in zip(flat[: len(a)].tolist(), flat[len(a) :].tolist(), strict=True):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        while parent[j] != j:
-            parent[j] = parent[parent[j]]
-            j = parent[j]
-        if i != j:
-            parent[max(i, j)] = min(i, j)
-    linked = np.flatnonzero(parent != np.arange(len(nodes)))
-    return nodes[linked], nodes[parent[linked]]
-
-
 def _links(fps: np.ndarray, other: np.ndarray | None, bits: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one posting list (or of two parts of it): tallied, kept from ``least`` shared bytes on, verified."""
     square = other is None
@@ -164,16 +147,39 @@ def near_links(distinct: DataFrame, bits: int = 3, together: int = 3, most: int
                 cut = s + int(np.searchsorted(side[s:e], side[s], side="right"))
                 # a task of two parts compares across; one of a single part, within
                 for a, b in _links(fp[s:cut], fp[cut:e] if cut < e else None, bits, least):
-                    a, b = _roots(a, b)
+                    a, b = roots(a, b)
                     out_a.append(a)
                     out_b.append(b)
             if out_a:
-                a, b = _roots(np.concatenate(out_a), np.concatenate(out_b))
+                a, b = roots(np.concatenate(out_a), np.concatenate(out_b))
                 yield batch(schema, a=pa.array(a.view(np.int64)), b=pa.array(b.view(np.int64)))
 
     return dealt.select("key", "fp", "side", "task").mapInArrow(apply, "a long, b long")
 
 
+def _component_of(firsts: DataFrame, bits: int) -> DataFrame:
+    """(fp, component) of distinct fingerprints."""
+    groups = connected_components(near_links(firsts.select("fp"), bits)).withColumnRenamed("node", "fp")
+    return firsts.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def one_of_each_group(docs: DataFrame, bits: int = 3, words_per_shingle: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all columns, of one document of each near-duplicate group.
+
+    The one of smallest doc_id stays (null last; of texts with one doc_id, the one of smaller hash), as a single row.
+    """
+    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    tid = F.xxhash64(F.coalesce("text", F.lit("")))
+    prints = checkpointed(with_fingerprints(docs.select(did.alias("doc_id"), "text", tid.alias("tid")), words_per_shingle, ("tid",)))
+    firsts = checkpointed(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "tid")).alias("first")))
+    heads = _component_of(firsts, bits).groupBy("component").agg(F.min("first").alias("head"))
+    heads = heads.select(F.col("head.doc_id").alias("did"), F.col("head.tid").alias("tid"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), did.alias("did"), tid.alias("tid"))
+    kept = rows.join(heads, ["did", "tid"], "left_semi")
+    once = Window.partitionBy("did", "tid").orderBy("did")
+    return kept.withColumn("copy", F.row_number().over(once)).where("copy = 1").select("row.*")
+
+
 def simhash_groups(docs: DataFrame, bits: int = 3, words_per_shingle: int = 3) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable over links) for every row of ``docs``.
 
@@ -185,10 +191,8 @@ def simhash_groups(docs: DataFrame, bits: int = 3, words_per_shingle: int = 3) -
     """
     prints = checkpointed(with_fingerprints(docs, words_per_shingle))
     firsts = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    links = near_links(firsts.select("fp"), bits)
-    groups = connected_components(links)
     # the smallest doc_id of each component, then of each fingerprint
-    joined = firsts.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    joined = _component_of(firsts, bits)
     heads = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = joined.join(heads, "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
