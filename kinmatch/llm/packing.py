@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -15,10 +18,10 @@ from pyspark.sql import functions as F
 from .common import batch, checkpointed
 
 #: Chunks whose ids a worker remembers; then it starts afresh. Ids don't depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Pieces that one task packs together.
 TOGETHER = 100_000
-_coders: dict[str, tuple] = {}
+_coders: dict[str, _Ids] = {}
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -28,32 +31,71 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _coder(path: str):
-    """The tokenizer of a file and the ids of chunks so far, one per worker process."""
-    if path not in _coders:
+# The words of the tokenizer kind whose texts are put together from words.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Words of these letters are in composed form, and have one lower-case letter for each.
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: visible Latin-1 ones for themselves, the rest from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in visible)}
+
+
+class _Ids(dict):
+    """Ids of chunks as bytes; a missing one is encoded when asked for."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _coders[path] = (Tokenizer.from_file(path), {"": b""})
-    return _coders[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)
+        split = ((kind.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        normal = [n["type"] for n in (kind.get("normalizer") or {}).get("normalizers", [])]
+        words = {"pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+        #: Whether texts are put together from blank-separated chunks.
+        self.by_words = normal == _NORMALIZERS and words.items() <= split.items()
+        self.letters = _byte_letters()
+        self[""] = b""
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        # A letter and a sign are never in one word, nor is case kept: most chunks share a word that is known.
+        word = chunk.rstrip(".,;:!?")
+        if word != chunk and word and word[-1].isalpha():
+            ids = self[word] + self[chunk[len(word) :]]
+        elif _PLAIN.fullmatch(low := chunk.lower()):
+            if low != chunk:
+                ids = self[low]
+            else:  # one word as it is: only the merges are left to do
+                spelt = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        else:
+            ids = self.whole(chunk)
+        self[chunk] = ids
+        return ids
 
 
 def _ids(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
-    The tokenizer's words never hold white space and its normaliser acts on
+    Words of a tokenizer that drops white space never hold any, and its normaliser acts on
     each side of a blank alone, so a text's ids are those of its
     blank-separated chunks in order, and a chunk needs to be encoded once.
+    Texts of other tokenizers are encoded whole.
     """
-    tokenizer, known = _coder(path)
-    split = [t.replace("\n", " ").split(" ") for t in texts]
-    new = list(set().union(*split) - known.keys())
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(set().union(*split))
-    for chunk, encoded in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-        known[chunk] = np.array(encoded.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, s)) for s in split]
+    known = _coders.get(path)
+    if known is None or len(known) > REMEMBERED:
+        known = _coders[path] = _Ids(path)
+    if not known.by_words:
+        return [known.whole(t) for t in texts]
+    return [b"".join(map(known.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, most: int = 2048, end_id: int = 0) -> DataFrame:

@@ -25,12 +25,13 @@ def check(rows, most):
     return len(fills)
 
 
-def test_pieces_against_the_tokenizer(spark):
-    texts = [None, "", " ", "Hello world's isn't", "A\nb\tc d e\x1cf\x85g", "É é é ΑΣ Σ'S", "<|endoftext|> x<|startoftext|>y", "x" * 5000, "12 345 " * 3000, "　全角 テスト"]
-    t = Tokenizer.from_file(packing.tokenizer_path())
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_against_the_tokenizer(spark, name):
+    texts = [None, "", " ", "Hello world's isn't", "A\nb\tc d e\x1cf\x85g", "É é é ΑΣ Σ'S", "<|endoftext|> x<|startoftext|>y", "x" * 5000, "12 345 " * 3000, "　全角 テスト", 'He said "end." (really?!) WORD. Éa. x.y, ., ?!a I\'LL. don\'T, <|STARTOFTEXT|> <|endoftext|>. İstanbul.', "e\u0301. a\u0301, ά.\u0301"]
+    t = Tokenizer.from_file(packing.tokenizer_path(name))
     df = spark.createDataFrame([(i, x, 1, 2, 3, "l") for i, x in enumerate(texts)], SCHEMA)
     got = defaultdict(list)
-    for x in packing.packed_documents(df).collect():
+    for x in packing.packed_documents(df, packing.tokenizer_path(name)).collect():
         got[x.doc_id].append((x.piece, x.start, x.length, x.ids_crc32))
     for i, x in enumerate(texts):
         ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4")
