@@ -3,7 +3,7 @@ import random
 
 from kinmatch.llm import lines
 
-from .oracle import same
+from ..oracle import same
 
 SCHEMA = "doc_id long, text string, gone int, unit string, digest string"
 SF = "/root/testdata/sf0.001"

@@ -5,7 +5,7 @@ import pytest
 
 from kinmatch.llm import mixing
 
-from .oracle import same
+from ..oracle import same
 
 SCHEMA = "doc_id long, text string, source string, copies int, size string, key int"
 SF = "/root/testdata/sf0.001"
