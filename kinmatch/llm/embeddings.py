@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, checkpointed, shuffle_partitions
+from .common import batch, checkpointed, mix, shuffle_partitions
 from .components import connected_components, roots
 
-#: Coordinates of a block; of them, those that the grid divides.
-WIDTH, GRID = 16, 2
+#: Coordinates of a block.
+WIDTH = 16
 #: Vectors that a task compares others with at a time.
-HOME = 2048
+HOME = 4096
 _SLACK = 1e-6
 
 
@@ -35,6 +35,11 @@ def _rotation(d: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def grid_of(vectors: int, home: int = HOME) -> int:
+    """How many coordinates of a block the grid divides: each has about three cells, so cells keep their size as vectors get more."""
+    return max(2, min(WIDTH, 1 + int(math.log(max(1, vectors) / home, 3)))) if vectors > home else 2
+
+
 def _blocks(d: int) -> list[tuple[int, int]]:
     return [(s, min(d, s + WIDTH)) for s in range(0, d, WIDTH)]
 
@@ -55,7 +60,7 @@ def _vectors(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, values[bounds[rows][:, None] + np.arange(d)]
 
 
-def _dealt(vectors: DataFrame, cosine: float) -> DataFrame:
+def _dealt(vectors: DataFrame, cosine: float, grid: int) -> DataFrame:
     """Rows (d, block, cell, guest, vid, w, vec) of vectors vid, w, vec.
 
     Each vector is at home in its cell of each block, and a guest in those
@@ -74,7 +79,7 @@ def _dealt(vectors: DataFrame, cosine: float) -> DataFrame:
                 for k, (s, e) in enumerate(_blocks(d)):
                     reach = math.sqrt((2 - 2 * cosine) * (e - s) / d + _SLACK)
                     step = 2 * reach
-                    y = turned[:, s : min(e, s + GRID)]
+                    y = turned[:, s : min(e, s + grid)]
                     own = np.floor(y / step).astype(np.int64)
                     for shift in np.ndindex(*(3,) * y.shape[1]):
                         shift = np.array(shift) - 1
@@ -85,11 +90,11 @@ def _dealt(vectors: DataFrame, cosine: float) -> DataFrame:
                         if not len(n):
                             continue
                         to = own[n] + shift
-                        cell = np.zeros(len(n), np.int64)
+                        cell = np.zeros(len(n), np.uint64)
                         for c in range(y.shape[1]):
-                            cell = cell * (1 << 20) + to[:, c] + (1 << 19)
+                            cell = mix(cell + to[:, c].view(np.uint64))
                         vec = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * d), pa.array(x[n].ravel(), real))
-                        yield batch(schema, d=np.full(len(n), d, np.int32), block=np.full(len(n), k, np.int32), cell=cell, guest=np.full(len(n), bool(shift.any())), vid=vid[rows[n]], w=w[rows[n]], vec=vec)
+                        yield batch(schema, d=np.full(len(n), d, np.int32), block=np.full(len(n), k, np.int32), cell=cell.view(np.int64), guest=np.full(len(n), bool(shift.any())), vid=vid[rows[n]], w=w[rows[n]], vec=vec)
 
     return vectors.select("vid", "w", "vec").mapInArrow(apply, f"d int, block int, cell long, guest boolean, vid long, w long, vec {element}")
 
@@ -100,8 +105,8 @@ class _Cell:
     Vectors come as (vid, w, unit vector, turned vector); w rows have the vector.
     """
 
-    def __init__(self, d: int, block: int, cosine: float):
-        self.cosine, self.block = cosine, block
+    def __init__(self, d: int, block: int, cosine: float, grid: int):
+        self.cosine, self.block, self.grid = cosine, block, grid
         self.turn = _rotation(d)
         self.blocks = _blocks(d)
         self.shares = [(2 - 2 * cosine) * (e - s) / d + _SLACK for s, e in self.blocks]
@@ -116,7 +121,7 @@ class _Cell:
 
     def meet(self, one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], same: bool) -> None:
         s, e = self.blocks[self.block]
-        key, reach = min(s + GRID, e - 1), math.sqrt(self.shares[self.block])
+        key, reach = min(s + self.grid, e - 1), math.sqrt(self.shares[self.block])
         ya, yb = one[3], two[3]
         order, order_b = np.argsort(ya[:, key], kind="stable"), np.argsort(yb[:, key], kind="stable")
         sorted_b = yb[order_b, key]
@@ -174,13 +179,13 @@ class _Cell:
         return (self.counts, *(self._merged() if self.forest else (none, none)))
 
 
-def _linked(vectors: DataFrame, cosine: float, home: int = HOME) -> DataFrame:
+def _linked(vectors: DataFrame, cosine: float, grid: int, home: int = HOME) -> DataFrame:
     """Rows (vid, n, other): n links of vector vid found in a cell, or an ``other`` that it is connected with there.
 
     A cell with more than ``home`` vectors at home is cut into parts by hash;
     each part meets the later parts and the cell's guests in a task of its own.
     """
-    dealt = _dealt(vectors, cosine)
+    dealt = _dealt(vectors, cosine, grid)
     cell = ["d", "block", "cell"]
     sizes = dealt.where(~F.col("guest")).groupBy(cell).count().where(F.col("count") > home)
     sizes = sizes.select(*cell, F.ceil(F.col("count") / home).cast("int").alias("parts"))
@@ -219,7 +224,7 @@ def _linked(vectors: DataFrame, cosine: float, home: int = HOME) -> DataFrame:
             if where != at:
                 if cell is not None:
                     yield from out()
-                at, cell, lived = where, _Cell(where[0], where[1], cosine), None
+                at, cell, lived = where, _Cell(where[0], where[1], cosine, grid), None
             now = cell.vectors(vid, w, x)
             if lived is not None:
                 cell.meet(lived, now, False)
@@ -253,7 +258,7 @@ def embedding_groups(embeddings: DataFrame, cosine: float = 0.95, home: int = HO
     keyed = rows.withColumn("k1", F.when(good, F.xxhash64(vec))).withColumn("k2", F.when(good, F.xxhash64(F.lit(7), vec)))
     classes = keyed.where("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("w"), F.first("vec").alias("vec"))
     classes = checkpointed(classes.withColumn("vid", F.monotonically_increasing_id()))
-    links = checkpointed(_linked(classes, cosine, home))
+    links = checkpointed(_linked(classes, cosine, grid_of(classes.count(), home), home))
     found = links.where("other IS NULL").groupBy("vid").agg(F.sum("n").alias("n"))
     groups = connected_components(links.where("other IS NOT NULL").select(F.col("vid").alias("a"), F.col("other").alias("b")))
     named = classes.select("k1", "k2", "vid", "w", "first_id").join(found, "vid", "left").join(groups.withColumnRenamed("node", "vid"), "vid", "left")

@@ -38,7 +38,7 @@ def noisy(r, base, eps):
     return v / np.linalg.norm(v) * r.uniform(0.2, 5)
 
 
-@pytest.mark.parametrize("home", [2048, 40])
+@pytest.mark.parametrize("home", [4096, 40])
 def test_against_brute_force(spark, home):
     r = np.random.default_rng(home)
     rows = []
