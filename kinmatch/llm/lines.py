@@ -34,6 +34,8 @@ def repeated_units(named: DataFrame, unit: str = "line", min_words: int = 5) ->
     units = checkpointed(units.select("did", "tid", "pos", F.unhex(F.md5("norm")).alias("digest")))
     place = F.struct("did", "tid", "pos")
     firsts = units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    # written once: the join then deals both sides itself, and may split a digest of many places
+    firsts = checkpointed(firsts.select("digest", "first"))
     return units.join(firsts, "digest").where(place > F.col("first")).select("did", "tid", "pos")
 
 
