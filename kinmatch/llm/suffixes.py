@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, identified, mix, shuffle_partitions, sliding_min, stored
+from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, checkpointed, identified, mix, shuffle_partitions, sliding_min, stored
 
 GRAM = 32
 _LOW = np.uint64(0xFFFFFFFF)
@@ -174,6 +174,8 @@ def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> Da
     state = stored(found.mapInArrow(second_digits, "did long, tid long, start long, n smallint, kind tinyint, key long"))
     asked = state.where(F.col("kind") == _OPEN)
     crowded = asked.groupBy("key").count().where(F.col("count") > TOGETHER).select("key", F.lit(True).alias("crowded"))
+    # written once, few rows: the join then deals both sides itself, and may split an anchor of many runs
+    crowded = checkpointed(crowded)
     asked = asked.join(crowded, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
     asked = asked.groupBy("did", "tid").agg(F.collect_list(F.struct("start", "n", "key", "crowded")).alias("asked"))
     schema_3 = pa.schema([("crowded", pa.bool_()), ("h", pa.int64()), ("g", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("data", pa.binary())])
