@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, identified
 
+#: Bytes up to which the table of sources goes to every task; beyond, both sides are dealt by source.
+SENT_BYTES = 8 << 20
 #: Bins of the first look at a source's order; only documents of one bin a source are ordered one by one.
 BINS = 4096
 
@@ -97,7 +99,9 @@ def with_taken(sized: DataFrame, per_source: DataFrame) -> DataFrame:
     once_more = (F.col("u") < F.col("lower_u")) | F.coalesce(F.struct(q.alias("q"), "did", "tid") <= F.col("cut"), F.lit(False))
     keyed = sized.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
     copies = F.col("whole") + F.when((F.col("p") > 0) & F.coalesce(once_more, F.lit(False)), 1).otherwise(0)
-    return keyed.join(per_source, ["key", "none"]).withColumn("copies", copies)
+    held = per_source.agg(F.coalesce(F.sum(F.length("key") * 4 + 128), F.lit(0))).first()[0]
+    sources = F.broadcast(per_source) if held <= SENT_BYTES else per_source
+    return keyed.join(sources, ["key", "none"]).withColumn("copies", copies)
 
 
 def mix(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: int = 8) -> DataFrame:

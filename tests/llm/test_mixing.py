@@ -39,7 +39,9 @@ def test_targets_against_resharing(spark):
         assert got == pytest.approx(brute_targets(sizes))
 
 
-def test_mix(spark):
+@pytest.mark.parametrize("sent", [mixing.SENT_BYTES, 0])
+def test_mix(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "SENT_BYTES", sent)
     r = random.Random(7)
     rows = [(i, "w " * r.randrange(0, 80), r.choice(["a", "b", "c", "hot", "hot", "hot", "é", None])) for i in range(1500)]
     rows += [(9000, None, "a"), (9001, "", "only empty"), (9002, "x" * 50_000, "long"), (None, "n n n", "a")]
