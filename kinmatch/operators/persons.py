@@ -51,6 +51,9 @@ def scored_pairs(left: DataFrame, right: DataFrame, threshold: float, also: Colu
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), parts).cast("int")
     left = left.join(sizes, BLOCK, "left").withColumn("part", spread).drop("parts")
     right = right.join(sizes, BLOCK, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    # comparing costs much more than its few bytes suggest: a fixed number of partitions keeps all cores busy
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(n, *BLOCK, "part") for side in (left, right))
     l, r = left.alias("l"), right.alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in [*BLOCK, "part"]]
     s = scores("l", "r")
