@@ -8,24 +8,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, batch, checkpointed, runs, shuffle_partitions
+from .common import batch, checkpointed, runs, shuffle_partitions
 from .components import connected_components, roots
 
 BYTES = 8
 
 
-def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
-    """64-bit SimHash of the lower-cased (A-Z) words of a text, as an unsigned int."""
+def shingle_digests(text: str | None, words_per_shingle: int) -> np.ndarray:
+    """Eight bytes for each run of lower-cased (A-Z) words of a text; a text of fewer words is one run."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
     k = min(words_per_shingle, len(words))
     shingles = map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))
     digests = b"".join([xxhash.xxh64_digest(s, 42) for s in shingles])
-    bits = np.frombuffer(digests, np.uint8).reshape(-1, BYTES)
+    return np.frombuffer(digests, np.uint8).reshape(-1, BYTES)
+
+
+def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
+    """64-bit SimHash of the lower-cased (A-Z) words of a text, as an unsigned int."""
+    bits = shingle_digests(text, words_per_shingle)
+    if not len(bits):
+        return 0
     n, counts = len(bits), np.zeros(64, np.int64)
     for at in range(0, n, 1 << 14):
         counts += np.unpackbits(bits[at : at + (1 << 14)], axis=1).sum(axis=0, dtype=np.int32)
@@ -163,23 +168,6 @@ def _component_of(firsts: DataFrame, bits: int) -> DataFrame:
     return firsts.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
 
 
-def one_of_each_group(docs: DataFrame, bits: int = 3, words_per_shingle: int = 3) -> DataFrame:
-    """The rows of ``docs``, with all columns, of one document of each near-duplicate group.
-
-    The one of smallest doc_id stays (null last; of texts with one doc_id, the one of smaller hash), as a single row.
-    """
-    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    tid = F.xxhash64(F.coalesce("text", F.lit("")))
-    prints = checkpointed(with_fingerprints(docs.select(did.alias("doc_id"), "text", tid.alias("tid")), words_per_shingle, ("tid",)))
-    firsts = checkpointed(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "tid")).alias("first")))
-    heads = _component_of(firsts, bits).groupBy("component").agg(F.min("first").alias("head"))
-    heads = heads.select(F.col("head.doc_id").alias("did"), F.col("head.tid").alias("tid"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), did.alias("did"), tid.alias("tid"))
-    kept = rows.join(heads, ["did", "tid"], "left_semi")
-    once = Window.partitionBy("did", "tid").orderBy("did")
-    return kept.withColumn("copy", F.row_number().over(once)).where("copy = 1").select("row.*")
-
-
 def simhash_groups(docs: DataFrame, bits: int = 3, words_per_shingle: int = 3) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable over links) for every row of ``docs``.
 
