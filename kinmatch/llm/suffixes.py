@@ -18,8 +18,8 @@ two or more members go on to the next digit:
    ``TOGETHER`` contents are dealt window by window instead, wherever that
    window's hash leads, so no anchor is too large for a task.
 
-Digits are compared by hashes, of 64 bits in pass 1, 96 bits together in pass 2
-and 128 bits in pass 3.
+Digits are compared by hashes, of 64 bits in pass 1 and 128 bits in passes 2 and 3;
+those of pass 2 tell the contents of one anchor apart without its help.
 """
 
 from __future__ import annotations
@@ -70,9 +70,9 @@ def _pieces(texts: list[bytes], depth: int, chunk: int) -> Iterator[tuple[bytes,
 
 
 def _window_runs(data: bytes, lengths: np.ndarray, depth: int):
-    """Runs of windows with one anchor: anchor hash, content hash, piece, start in the data, windows."""
-    raw = np.frombuffer(data, np.uint8)
-    p = Prefix(BYTE_VALUES[raw])
+    """Runs of windows with one anchor: anchor hash, two content hashes, piece, start in the data, windows."""
+    raw = BYTE_VALUES[np.frombuffer(data, np.uint8)]
+    p = Prefix(raw)
     grams = mix(p.grams(GRAM))
     v = grams & ~_LOW
     v |= np.arange(len(v), dtype=np.uint64)
@@ -86,9 +86,9 @@ def _window_runs(data: bytes, lengths: np.ndarray, depth: int):
     piece = piece[start]
     stop = np.minimum(np.append(start[1:], len(anchor)), ends[piece] - depth + 1)
     at = anchor[start]
-    content = p.at(start, stop - 1 + depth)
-    content = mix(content ^ mix((at - start).astype(np.uint64) << np.uint64(32) | (stop - start).astype(np.uint64)))
-    return grams[at], content, piece, start, stop - start
+    shape = mix((at - start).astype(np.uint64) << np.uint64(32) | (stop - start).astype(np.uint64))
+    content, second = (mix(x.at(start, stop - 1 + depth) ^ shape) for x in (p, Prefix(raw, POWERS_B)))
+    return grams[at], content, second, piece, start, stop - start
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -122,42 +122,41 @@ def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> Da
     if depth < GRAM:
         raise ValueError(f"depth must be at least {GRAM}")
     parts = shuffle_partitions(docs.sparkSession)
-    schema = pa.schema([("key", pa.int64()), ("content", pa.int32()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16()), ("sure", pa.bool_())])
+    schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("second", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16()), ("sure", pa.bool_())])
 
     def first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             did, tid = b.column(0).to_numpy(), b.column(1).to_numpy()
             for data, rows, offsets, lengths in _pieces(_bytes(b.column(2)), depth, chunk):
-                key, content, piece, start, n = _window_runs(data, lengths, depth)
+                key, content, second, piece, start, n = _window_runs(data, lengths, depth)
                 start = start - (np.cumsum(lengths) - lengths)[piece] + offsets[piece]
                 d, t = did[rows[piece]], tid[rows[piece]]
-                content = (content >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 # Of runs equal in both digits here, only the earliest goes on; the others are repeats already.
-                order = np.lexsort((start, t, d, content, key))
-                key, content, d, t, start, n = (x[order] for x in (key, content, d, t, start, n))
-                sure = _later(_changes(key, content), d, t, start)
+                order = np.lexsort((start, t, d, second, content, key))
+                key, content, second, d, t, start, n = (x[order] for x in (key, content, second, d, t, start, n))
+                sure = _later(_changes(key, content, second), d, t, start)
                 key[sure] = mix(d[sure].view(np.uint64))  # spread, as they need no company
-                yield batch(schema, key=key.view(np.int64), content=content, did=d, tid=t, start=start, n=n.astype(np.int16), sure=sure)
+                yield batch(schema, key=key.view(np.int64), content=content.view(np.int64), second=second.view(np.int64), did=d, tid=t, start=start, n=n.astype(np.int16), sure=sure)
 
-    found = docs.select("did", "tid", "text").mapInArrow(first_digits, "key long, content int, did long, tid long, start long, n smallint, sure boolean")
-    found = found.repartition(parts, "key").sortWithinPartitions("sure", "key", "content", "did", "tid", "start")
+    found = docs.select("did", "tid", "text").mapInArrow(first_digits, "key long, content long, second long, did long, tid long, start long, n smallint, sure boolean")
+    found = found.repartition(parts, "key").sortWithinPartitions("sure", "key", "content", "second", "did", "tid", "start")
     schema_2 = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int16()), ("kind", pa.int8()), ("key", pa.int64())])
 
     def second_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Streams over sorted rows; the first row of the latest content stays for the next batch."""
         head, several_before, sent = None, False, False
         for b in batches:
-            c = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            sure = c[6]
+            c = [b.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
+            sure = c[7]
             if sure.any():
-                yield batch(schema_2, did=c[2][sure], tid=c[3][sure], start=c[4][sure], n=c[5][sure], kind=np.full(sure.sum(), _REPEAT, np.int8), key=np.zeros(sure.sum(), np.int64))
+                yield batch(schema_2, did=c[3][sure], tid=c[4][sure], start=c[5][sure], n=c[6][sure], kind=np.full(sure.sum(), _REPEAT, np.int8), key=np.zeros(sure.sum(), np.int64))
             c = [x[~sure] for x in c]
             if not len(c[0]):
                 continue
             if head is not None:
                 c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
-            key, content, did, tid, start, n = c[:6]
-            first = _changes(key, content)
+            key, content, second, did, tid, start, n = c[:7]
+            first = _changes(key, content, second)
             group = np.cumsum(_changes(key)) - 1
             several = np.bincount(group, weights=first) > 1
             if head is not None:

@@ -67,3 +67,11 @@ def test_kept_text_and_spans(spark):
         for s in x.spans:
             left, at = left + raw[at : s.start], s.stop
         assert left + raw[at:] == bytes(x.kept)
+
+
+def test_contents_of_one_anchor_that_agree_in_32_bits_are_told_apart(spark):
+    # both hold the same anchor; the upper halves of their first content hashes are equal
+    a = "frtfrtkrkuzvzakmyhufuqvosgoreasxdcpksgztrtzcvjrwwdloogcdbrkuhpwzutioihhcogxteqhqikthaxvahbqddoohpgzc"
+    b = "cehpypdprgvjshlwqfdfqnvqsxlvoqehrepksgztrtzcvjrwwdloogcdbrkuhpwzutbuiuodckenhddkuhuhxsoxgbnylrkefaya"
+    rows = [(1, a), (2, b), (3, b)]
+    assert dict(run(spark, rows)) == brute(rows)
