@@ -113,3 +113,11 @@ def test_empty_tables_and_extra_columns(spark, rows):
         assert out.count() > 0
         if k < 4:
             assert out.columns == list(corpus_pipeline.COLUMNS)
+
+
+def test_short_lines_and_lines_without_blanks_go_once_repeated(spark):
+    texts = ["All rights reserved.\n\n这是一个没有空格的长句子。\none of the first", "one of the second\n\nall  rights RESERVED.\n\n这是一个没有空格的长句子。", "ภาษาไทยไม่มีช่องว่าง\nภาษาไทยไม่มีช่องว่าง"]
+    docs = frame(spark, [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
+    got = {x.doc_id: (x.text, x.n_chars) for x in dict(corpus_pipeline.STAGES)["repeated_lines"](spark, docs, "").collect()}
+    want = [texts[0], "one of the second\n\n", texts[2].split("\n")[0]]
+    assert got == {i: (t, len(t)) for i, t in enumerate(want)}
