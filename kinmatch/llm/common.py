@@ -17,10 +17,13 @@ LAST_ID = (1 << 63) - 1
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that is unset (tests in local mode), a temporary folder."""
+    """The session's ``spark.checkpoint.dir``; where that is unset, a temporary folder if the master is local, else an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinmatch-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinmatch-"))
     return context.getCheckpointDir()
 
 
@@ -149,3 +152,21 @@ def runs(changed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of a sorted sequence; changed[0] is true."""
     start = np.flatnonzero(changed)
     return start, np.append(start[1:], len(changed))
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted row differs from the one before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def later(first: np.ndarray, *names: np.ndarray) -> np.ndarray:
+    """Which rows of each sorted group have other names than the group's first row; those with equal names are the same place of a repeated row."""
+    head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    out = np.zeros(len(first), bool)
+    for c in names:
+        out |= c != c[head]
+    return out

@@ -1,60 +1,144 @@
-"""Repeated lines or paragraphs across documents, by digests of normalised units."""
+"""Repeated lines, paragraphs and passages across documents, by digests of normalised units."""
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, checkpointed, identified
-
-#: What separates units, as a Java regular expression.
-SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
-
-
-def normalised(unit: Column) -> Column:
-    """Lower case, white space runs as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(unit), r"[ \t\x0B\f\r\n]+", " "))
-
-
-def repeated_units(named: DataFrame, unit: str = "line", min_words: int = 5) -> DataFrame:
-    """(did, tid, pos) of each unit that an earlier (did, tid, pos) equals after normalisation.
-
-    Digests meet in an aggregation that keeps one row a digest and task before
-    the shuffle, so a line that a third of all documents share is no hot group
-    there; the join back to its places is a plain equi-join that Spark splits
-    when skewed.
+from .common import batch, changes, identified, later, mix, shuffle_partitions
+
+#: What ends a unit; it belongs to the unit that it ends. A sentence ends with its line, too.
+ENDS = {
+    "line": r"\n",
+    "paragraph": r"\n(?:[ \t\r]*\n)+",
+    "sentence": r"[.!?][ \t\x0B\f\r]+|[。！？]|\n",
+}
+#: Code points, once normalised, from which on neighbouring units are long enough to be the same passage.
+LEAST = 150
+#: Documents whose digests are sorted together before they are sent.
+_TOGETHER = 2_000
+
+
+def units_of(text: str, ends: re.Pattern) -> list[str]:
+    """The units in order; joined they are the text."""
+    cuts = [0, *(m.end() for m in ends.finditer(text))]
+    if cuts[-1] < len(text):
+        cuts.append(len(text))
+    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def normalised(unit: str) -> str:
+    """Lower case, runs of ASCII white space as one space, none at the ends."""
+    return b" ".join(unit.lower().encode("utf-8", "surrogatepass").split()).decode("utf-8", "surrogatepass")
+
+
+def passages(units: list[str], least: int) -> list[tuple[int, int, bytes]]:
+    """(first, last, digest) of the shortest runs of units of ``least`` code points or more, from each unit on and up to each; none starts or ends blank."""
+    places, norms, lengths = [], [], []
+    for k, unit in enumerate(units):
+        if n := normalised(unit):
+            places.append(k)
+            norms.append(n)
+            lengths.append(len(n))
+    least = max(1, least)
+    upto = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    stops = np.searchsorted(upto, upto[:-1] + least).tolist()
+    starts = (np.searchsorted(upto, upto[1:] - least, side="right") - 1).tolist()
+    runs = [(k, stop) for k, stop in enumerate(stops) if stop <= len(norms)]
+    # most runs are the shortest both ways
+    runs += [(start, k + 1) for k, start in enumerate(starts) if start >= 0 and stops[start] != k + 1]
+    whole = " ".join(norms)
+    at = (upto[:-1] + np.arange(len(norms))).tolist()
+    out = []
+    for k, stop in runs:
+        content = whole[at[k] : at[stop - 1] + lengths[stop - 1]]
+        out.append((places[k], places[stop - 1], xxhash.xxh3_128_digest(content.encode("utf-8", "surrogatepass"))))
+    return out
+
+
+def repeated_passages(named: DataFrame, unit: str = "sentence", least: int = LEAST) -> DataFrame:
+    """(did, tid, first, last): units first to last of a document also stand at an earlier (did, tid, first).
+
+    ``named`` is what ``identified`` returns. Of equal digests among documents
+    that are read together only the earliest travels, so a passage of a third
+    of all documents is no hot group; the others are known to be repeats and
+    are dealt by document.
     """
-    text = normalised(F.col("unit"))
-    units = named.select("did", "tid", F.posexplode(F.split("text", SEPARATORS[unit], -1)).alias("pos", "unit"))
-    units = units.select("did", "tid", "pos", text.alias("norm")).where(F.size(F.split("norm", " ")) >= min_words).where("norm <> ''")
-    units = checkpointed(units.select("did", "tid", "pos", F.unhex(F.md5("norm")).alias("digest")))
-    place = F.struct("did", "tid", "pos")
-    firsts = units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    # written once: the join then deals both sides itself, and may split a digest of many places
-    firsts = checkpointed(firsts.select("digest", "first"))
-    return units.join(firsts, "digest").where(place > F.col("first")).select("did", "tid", "pos")
-
-
-def without_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Removes every unit that occurred before, ranked by (doc_id, place), at whatever distance.
-
-    A unit is what stands between separators; it is compared lower-cased with white
-    space collapsed. Units of fewer than ``min_words`` words, blank ones among
-    them, stay. Returns for each row doc_id, kept_text (remaining units, joined
-    by the separator), n_units, n_removed, chars_removed (of the units), spans
-    (array of start, stop: code points of the removed units in the original
-    text), and the columns named in ``carry``, unchanged. A null text counts as
-    empty. Rows equal in doc_id and text are one document; a null doc_id ranks
-    last. No rows give no rows.
+    ends = re.compile(ENDS[unit])
+    schema = pa.schema([("key", pa.int64()), ("second", pa.int64()), ("did", pa.int64()), ("tid", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("sure", pa.bool_())])
+    ddl = "key long, second long, did long, tid long, first int, last int, sure boolean"
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, _TOGETHER):
+                part = b.slice(at, _TOGETHER)
+                found = [passages(units_of(t, ends), least) for t in part.column(2).to_pylist()]
+                n = [len(x) for x in found]
+                if not sum(n):
+                    continue
+                did, tid = (np.repeat(part.column(k).to_numpy(), n) for k in (0, 1))
+                first, last = (np.array([p[k] for x in found for p in x], np.int32) for k in (0, 1))
+                key, second = np.frombuffer(b"".join(p[2] for x in found for p in x), np.int64).reshape(-1, 2).T
+                order = np.lexsort((first, tid, did, second, key))
+                key, second, did, tid, first, last = (x[order] for x in (key, second, did, tid, first, last))
+                sure = later(changes(key, second), did, tid, first)
+                key[sure] = mix(did[sure].view(np.uint64)).view(np.int64)
+                yield batch(schema, key=key, second=second, did=did, tid=tid, first=first, last=last, sure=sure)
+
+    found = named.select("did", "tid", "text").mapInArrow(digests, ddl)
+    found = found.repartition(shuffle_partitions(named.sparkSession), "key").sortWithinPartitions("sure", "key", "second", "did", "tid", "first")
+    out = pa.schema([schema.field(c) for c in ("did", "tid", "first", "last")])
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Streams over sorted rows; the first row of the latest digest stays for the next batch."""
+        head = None
+        for b in batches:
+            c = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+            if (sure := c[6]).any():
+                yield batch(out, did=c[2][sure], tid=c[3][sure], first=c[4][sure], last=c[5][sure])
+            c = [x[~sure] for x in c[:6]]
+            if not len(c[0]):
+                continue
+            if head is not None:
+                c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
+            new = changes(c[0], c[1])
+            again = later(new, c[2], c[3], c[4])
+            if again.any():
+                yield batch(out, did=c[2][again], tid=c[3][again], first=c[4][again], last=c[5][again])
+            k = int(np.flatnonzero(new)[-1])
+            head = [x[k : k + 1] for x in c]
+
+    return found.mapInArrow(repeats, "did long, tid long, first int, last int")
+
+
+def without_repeats(docs: DataFrame, unit: str = "sentence", least: int = LEAST, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Removes every unit of a passage that occurred before, at whatever distance.
+
+    A passage is a run of neighbouring units, blank ones apart, from some unit
+    on or up to some unit, no longer than it takes to have ``least`` code
+    points; longer ones are covered by such runs. With ``least=1`` it is a
+    single line, paragraph or sentence. It is compared lower-cased with
+    white space collapsed, and ranks by (doc_id, place). Passages are judged on
+    the input. Each unit that goes is there in an earlier place, so its first
+    occurrence stays.
+
+    Returns for each row doc_id, kept_text (remaining units, unchanged), n_units,
+    n_removed, chars_removed, spans (array of start, stop: code points of the
+    removed units in the original text), and the columns named in ``carry``,
+    unchanged. A null text counts as empty and has no units. Rows equal in
+    doc_id and text are one document; a null doc_id ranks last. No rows give no
+    rows.
     """
-    separator = SEPARATORS[unit]
+    ends = re.compile(ENDS[unit])
     named = identified(docs, *(F.col(c).alias(f"__carry_{k}") for k, c in enumerate(carry)))
-    gone = repeated_units(named.select("did", "tid", "text"), unit, min_words)
-    gone = gone.groupBy("did", "tid").agg(F.collect_set("pos").alias("gone"))
+    gone = repeated_passages(named, unit, least)
+    gone = gone.groupBy("did", "tid").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
     kept = [f"__carry_{k}" for k in range(len(carry))]
     joined = named.join(gone, ["did", "tid"], "left").select("doc_id", "text", "gone", *kept)
     types = dict(joined.dtypes)
@@ -63,30 +147,30 @@ def without_repeated_units(docs: DataFrame, unit: str = "line", min_words: int =
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     own = [("doc_id", pa.int64()), ("kept_text", pa.string()), ("n_units", pa.int64()), ("n_removed", pa.int64()), ("chars_removed", pa.int64()), ("spans", span)]
 
+    def cut(text: str, first: np.ndarray, last: np.ndarray) -> tuple:
+        units = units_of(text, ends)
+        depth = np.zeros(len(units) + 1, np.int64)
+        np.add.at(depth, first, 1)
+        np.add.at(depth, last + 1, -1)
+        out = (np.cumsum(depth) > 0).tolist()
+        at = np.concatenate([[0], np.cumsum([len(u) for u in units], dtype=np.int64)]).tolist()
+        spans = [{"start": at[k], "stop": at[k + 1]} for k in range(len(units)) if out[k]]
+        return "".join(u for u, x in zip(units, out, strict=False) if not x), len(units), len(spans), sum(s["stop"] - s["start"] for s in spans), spans
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for b in batches:
             texts, lists = b.column(1).to_pylist(), b.column(2)
-            bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            bounds, flat = lists.offsets.to_numpy(), lists.values
+            first, last = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "last"))
             valid = lists.is_valid().to_numpy(zero_copy_only=False)
-            out: list[list] = [[], [], [], [], []]
+            rows = []
             for k, text in enumerate(texts):
-                drop = set(flat[bounds[k] : bounds[k + 1]].tolist()) if valid[k] else ()
-                if not drop:
-                    row = (text, text.count(separator) + 1, 0, 0, [])
-                else:
-                    units, at, left, spans = text.split(separator), 0, [], []
-                    for pos, x in enumerate(units):
-                        if pos in drop:
-                            spans.append({"start": at, "stop": at + len(x)})
-                        else:
-                            left.append(x)
-                        at += len(x) + len(separator)
-                    row = (separator.join(left), len(units), len(spans), sum(s["stop"] - s["start"] for s in spans), spans)
-                for o, x in zip(out, row, strict=True):
-                    o.append(x)
-            names = [n for n, _ in own[1:]]
+                s, e = (bounds[k], bounds[k + 1]) if valid[k] else (0, 0)
+                rows.append(cut(text, first[s:e], last[s:e]) if e > s else (text, len(units_of(text, ends)), 0, 0, []))
+            columns = zip(*rows, strict=True) if rows else [none] * 5
             schema = pa.schema([*own, *((c, b.schema.field(c).type) for c in kept)])
-            yield batch(schema, doc_id=b.column(0), **dict(zip(names, out, strict=True)), **{c: b.column(3 + k) for k, c in enumerate(kept)})
+            yield batch(schema, doc_id=b.column(0), **{n: list(x) for (n, _), x in zip(own[1:], columns, strict=True)}, **{c: b.column(3 + k) for k, c in enumerate(kept)})
 
     done = joined.mapInArrow(apply, ddl)
     for k, c in enumerate(carry):
@@ -100,23 +184,36 @@ def digest_columns(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_units", "n_removed", "chars_removed", spans.alias("removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-#: DuckDB SQL for digest_columns(without_repeated_units(documents)).
+#: DuckDB SQL for digest_columns(without_repeats(documents)): passages as strings, not as digests.
 ORACLE = r"""
-WITH u AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS unit,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
-n AS (
-  SELECT *, trim(regexp_replace(lower(unit), '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS norm,
-         coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
-  FROM u),
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:[.!?][ \t\x0B\f\r]+|[。！？]|\n)|.+\z') AS units FROM documents),
+u AS (SELECT doc_id, unnest(units) AS unit, generate_subscripts(units, 1) AS pos FROM t),
+n AS (SELECT *, trim(regexp_replace(lower(unit), '[ \t\x0B\f\r\n]+', ' ', 'g'), ' ') AS norm FROM u),
+c AS (
+  SELECT *, coalesce(sum(length(unit)) OVER (p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins,
+         (sum(length(norm)) OVER (p ROWS UNBOUNDED PRECEDING))::BIGINT AS upto,
+         count(*) FILTER (norm <> '') OVER (p ROWS UNBOUNDED PRECEDING) - 1 AS blanks
+  FROM n WINDOW p AS (PARTITION BY doc_id ORDER BY pos)),
+f AS (SELECT *, upto - length(norm) AS since FROM c WHERE norm <> ''),
+s AS (SELECT doc_id, string_agg(norm, ' ' ORDER BY pos) AS whole FROM f GROUP BY doc_id),
+w AS (
+  SELECT a.doc_id, a.pos, b.pos AS last, a.since + a.blanks AS begins, b.upto + b.blanks AS ends
+  FROM f a ASOF JOIN f b ON a.doc_id = b.doc_id AND a.since + 150 <= b.upto
+  UNION
+  SELECT a.doc_id, a.pos, b.pos, a.since + a.blanks, b.upto + b.blanks
+  FROM f b ASOF JOIN f a ON a.doc_id = b.doc_id AND b.upto >= a.since + 150),
+m AS (
+  SELECT w.doc_id, pos, last, row_number() OVER (PARTITION BY substr(whole, w.begins + 1, ends - w.begins) ORDER BY w.doc_id, pos) > 1 AS again
+  FROM w JOIN s ON w.doc_id = s.doc_id),
+g AS (SELECT doc_id, pos, max(last) AS last FROM m WHERE again GROUP BY doc_id, pos),
 r AS (
-  SELECT *, norm <> '' AND len(string_split(norm, ' ')) >= 5
-         AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone
-  FROM n)
-SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
+  SELECT c.doc_id, c.pos, c.unit, c.begins,
+         coalesce(max(last) OVER (PARTITION BY c.doc_id ORDER BY c.pos ROWS UNBOUNDED PRECEDING) >= c.pos, FALSE) AS gone
+  FROM c LEFT JOIN g ON c.doc_id = g.doc_id AND c.pos = g.pos)
+SELECT d.doc_id, count(r.pos)::BIGINT AS n_units, (count(*) FILTER (gone))::BIGINT AS n_removed,
        coalesce(sum(length(unit)) FILTER (gone), 0)::BIGINT AS chars_removed,
-       coalesce(string_agg(begins::BIGINT || '-' || (begins + length(unit))::BIGINT, ',' ORDER BY pos) FILTER (gone), '') AS removed,
-       sha256(coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM r GROUP BY doc_id
+       coalesce(string_agg(begins || '-' || (begins + length(unit)), ',' ORDER BY pos) FILTER (gone), '') AS removed,
+       sha256(coalesce(string_agg(unit, '' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id GROUP BY d.doc_id
 """

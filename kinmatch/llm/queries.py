@@ -44,7 +44,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.digest_columns(lines.without_repeated_units(table(spark, sf_dir, "documents")))
+    return lines.digest_columns(lines.without_repeats(table(spark, sf_dir, "documents")))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

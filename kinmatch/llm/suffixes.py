@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, checkpointed, identified, mix, shuffle_partitions, sliding_min, stored
+from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, changes, checkpointed, identified, later, mix, shuffle_partitions, sliding_min, stored
 
 GRAM = 32
 _LOW = np.uint64(0xFFFFFFFF)
@@ -91,24 +91,6 @@ def _window_runs(data: bytes, lengths: np.ndarray, depth: int):
     return grams[at], content, second, piece, start, stop - start
 
 
-def _changes(*columns: np.ndarray) -> np.ndarray:
-    """Where a sorted row differs from the one before."""
-    out = np.ones(len(columns[0]), bool)
-    out[1:] = False
-    for c in columns:
-        out[1:] |= c[1:] != c[:-1]
-    return out
-
-
-def _later(first: np.ndarray, *names: np.ndarray) -> np.ndarray:
-    """Which rows of each sorted group have other names than the group's first row; those with equal names are the same window of a repeated row."""
-    head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-    out = np.zeros(len(first), bool)
-    for c in names:
-        out |= c != c[head]
-    return out
-
-
 def _bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
@@ -134,7 +116,7 @@ def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> Da
                 # Of runs equal in both digits here, only the earliest goes on; the others are repeats already.
                 order = np.lexsort((start, t, d, second, content, key))
                 key, content, second, d, t, start, n = (x[order] for x in (key, content, second, d, t, start, n))
-                sure = _later(_changes(key, content, second), d, t, start)
+                sure = later(changes(key, content, second), d, t, start)
                 key[sure] = mix(d[sure].view(np.uint64))  # spread, as they need no company
                 yield batch(schema, key=key.view(np.int64), content=content.view(np.int64), second=second.view(np.int64), did=d, tid=t, start=start, n=n.astype(np.int16), sure=sure)
 
@@ -156,14 +138,14 @@ def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> Da
             if head is not None:
                 c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
             key, content, second, did, tid, start, n = c[:7]
-            first = _changes(key, content, second)
-            group = np.cumsum(_changes(key)) - 1
+            first = changes(key, content, second)
+            group = np.cumsum(changes(key)) - 1
             several = np.bincount(group, weights=first) > 1
             if head is not None:
                 several[0] |= several_before
             ask = first & several[group]
             ask[0] &= not (head is not None and sent)
-            repeat = _later(first, did, tid, start)
+            repeat = later(first, did, tid, start)
             out = repeat | ask
             if out.any():
                 yield batch(schema_2, did=did[out], tid=tid[out], start=start[out], n=n[out], kind=np.where(repeat[out], _REPEAT, _OPEN).astype(np.int8), key=np.where(repeat[out], 0, key[out]))
@@ -232,8 +214,8 @@ def repeated_starts(docs: DataFrame, depth: int = 100, chunk: int = CHUNK) -> Da
                 c = [b.column(k).to_numpy() for k in range(1, 6)]
                 if head is not None:
                     c = [np.concatenate([h, x]) for h, x in zip(head, c, strict=True)]
-                first = _changes(c[0], c[1])
-                out = _later(first, *c[2:])
+                first = changes(c[0], c[1])
+                out = later(first, *c[2:])
                 if out.any():
                     yield batch(schema_4, did=c[2][out], tid=c[3][out], start=c[4][out], n=np.ones(out.sum(), np.int16))
                 k = int(np.flatnonzero(first)[-1])
@@ -266,7 +248,7 @@ def _repeats_of_runs(tables: list[pa.RecordBatch], depth: int, schema: pa.Schema
     order = np.lexsort((g, h)) if len(h) else np.zeros(0, np.int64)
     r, w = run[order], start[run[order]] + inner[order]
     again = np.zeros(len(h), bool)
-    again[order] = _later(_changes(h[order], g[order]), did[r], tid[r], w)
+    again[order] = later(changes(h[order], g[order]), did[r], tid[r], w)
     # neighbouring windows of a run as one row
     new = again.copy()
     new[1:] &= ~again[:-1] | (run[1:] != run[:-1])
