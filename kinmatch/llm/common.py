@@ -170,3 +170,16 @@ def later(first: np.ndarray, *names: np.ndarray) -> np.ndarray:
     for c in names:
         out |= c != c[head]
     return out
+
+
+def merged(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal ranges that the ranges start to stop cover; ranges that touch are one."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    a = starts[order]
+    z = np.maximum.accumulate(stops[order])
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] > z[:-1]
+    first = np.flatnonzero(new)
+    return list(zip(a[first].tolist(), z[np.append(first[1:], len(a)) - 1].tolist(), strict=True))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, changes, checkpointed, identified, later, mix, shuffle_partitions, sliding_min, stored
+from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, changes, checkpointed, identified, later, merged, mix, shuffle_partitions, sliding_min, stored
 
 GRAM = 32
 _LOW = np.uint64(0xFFFFFFFF)
@@ -262,15 +262,7 @@ def _repeats_of_runs(tables: list[pa.RecordBatch], depth: int, schema: pa.Schema
 
 def covered(starts: np.ndarray, counts: np.ndarray, depth: int) -> list[tuple[int, int]]:
     """Maximal byte ranges covered by the windows."""
-    if not len(starts):
-        return []
-    order = np.argsort(starts, kind="stable")
-    a = starts[order]
-    z = np.maximum.accumulate(a + counts[order] + depth - 1)
-    new = np.ones(len(a), bool)
-    new[1:] = a[1:] > z[:-1]
-    first = np.flatnonzero(new)
-    return list(zip(a[first].tolist(), z[np.append(first[1:], len(a)) - 1].tolist(), strict=True))
+    return merged(starts, starts + counts + depth - 1)
 
 
 def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False, chunk: int = CHUNK) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kinmatch.llm import language, packing
+from kinmatch.llm import language, lines, packing
 
 from .test_lines import brute as brute_lines
 from .test_mixing import brute_targets
@@ -64,11 +64,11 @@ def test_stages(spark, rows):
     assert plain(map(tuple, second.collect())) == plain(want)
     assert not {200, 210} & {x[0] for x in want}
 
-    kept = brute_lines([(x[0], x[1]) for x in want])
+    kept = brute_lines([(x[0], x[1]) for x in want], (*lines.PASSAGES, ("line", 1)))
     want = [(x[0], kept[x[0]][0], x[2], x[3], len(kept[x[0]][0])) for x in want]
     third = stages["repeated_lines"](spark, second, "")
     assert plain(map(tuple, third.collect())) == plain(want)
-    assert any(kept[x[0]][2] for x in want)
+    assert any(kept[x[0]][1] for x in want)
 
     fourth = stages["mixing"](spark, third, "")
     mixed = [tuple(x) for x in fourth.collect()]
@@ -119,5 +119,5 @@ def test_short_lines_and_lines_without_blanks_go_once_repeated(spark):
     texts = ["All rights reserved.\n\n这是一个没有空格的长句子。\none of the first", "one of the second\n\nall  rights RESERVED.\n\n这是一个没有空格的长句子。", "ภาษาไทยไม่มีช่องว่าง\nภาษาไทยไม่มีช่องว่าง"]
     docs = frame(spark, [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
     got = {x.doc_id: (x.text, x.n_chars) for x in dict(corpus_pipeline.STAGES)["repeated_lines"](spark, docs, "").collect()}
-    want = [texts[0], "one of the second\n\n", texts[2].split("\n")[0]]
+    want = [texts[0], "one of the second\n\n\n", texts[2].split("\n")[0] + "\n"]  # a line goes with its end
     assert got == {i: (t, len(t)) for i, t in enumerate(want)}
