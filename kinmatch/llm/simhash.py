@@ -49,29 +49,29 @@ def with_fingerprints(docs: DataFrame, words_per_shingle: int = 3, carry: tuple[
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).mapInArrow(apply, ", ".join(f"{c} long" for c in schema.names))
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
+#: The low seven bits of each byte.
+_SEVEN = np.uint64(0x7F7F7F7F7F7F7F7F)
 
 
 def _shared_bytes(x: np.ndarray) -> np.ndarray:
-    """How many of the eight positional bytes are equal, given a xor b."""
-    return (np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape, BYTES) == 0).sum(axis=-1)
+    """How many of the eight positional bytes are equal, given a xor b: the zero bytes, each as one bit."""
+    return np.bitwise_count(~(((x & _SEVEN) + _SEVEN) | x | _SEVEN))
 
 
 def _links(fps: np.ndarray, other: np.ndarray | None, bits: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one posting list (or of two parts of it): tallied, kept from ``least`` shared bytes on, verified."""
+    """Pairs of one posting list (or of two parts of it): shared bytes tallied, pairs with ``least`` or more kept and verified bit by bit."""
     square = other is None
     other = fps if square else other
-    step = max(1, (1 << 21) // max(1, len(other)))
+    step = max(1, (1 << 20) // max(1, len(other)))
     for at in range(0, len(fps), step):
         x = fps[at : at + step, None] ^ other[None, :]
-        near = _popcount(x) <= bits
+        enough = _shared_bytes(x) >= least
         if square:
-            near &= np.arange(at, at + len(x))[:, None] < np.arange(len(other))[None, :]
-        i, j = np.nonzero(near)
-        keep = _shared_bytes(x[i, j]) >= least
-        if keep.any():
-            yield fps[at + i[keep]], other[j[keep]]
+            enough &= np.arange(at, at + len(x))[:, None] < np.arange(len(other))[None, :]
+        i, j = np.nonzero(enough)
+        near = np.bitwise_count(x[i, j]) <= bits
+        if near.any():
+            yield fps[at + i[near]], other[j[near]]
 
 
 def near_links(distinct: DataFrame, bits: int = 3, together: int = 3, most: int = 4096) -> DataFrame:
@@ -143,9 +143,8 @@ def near_links(distinct: DataFrame, bits: int = 3, together: int = 3, most: int
             for d in range(1, int((stop - start)[short].max(initial=1))):
                 i = np.flatnonzero(np.arange(len(fp)) + d < rest)
                 x = fp[i] ^ fp[i + d]
-                ok = _popcount(x) <= bits
-                i, x = i[ok], x[ok]
-                i = i[_shared_bytes(x) >= least]
+                enough = _shared_bytes(x) >= least
+                i = i[enough][np.bitwise_count(x[enough]) <= bits]
                 out_a.append(fp[i])
                 out_b.append(fp[i + d])
             for s, e in zip(start[~short], stop[~short], strict=True):
