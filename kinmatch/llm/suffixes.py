@@ -11,15 +11,18 @@ two or more members go on to the next digit:
 2. The second digit is the whole content of such a run. Of runs equal in both
    digits all but the earliest are repeats, window by window. An anchor with
    one content is done.
-3. Only runs whose anchor has several contents go on, to the last digit: each
-   window's ``depth`` bytes, as two 64-bit hashes. Equal groups are exactly
-   the repeated windows; all but the earliest start are repeats. The runs of an
-   anchor meet in one task, as bytes; those of an anchor with more than
-   ``TOGETHER`` contents are dealt window by window instead, wherever that
-   window's hash leads, so no anchor is too large for a task.
-
-Digits are compared by hashes, of 64 bits in pass 1 and 128 bits in passes 2 and 3;
-those of pass 2 tell the contents of one anchor apart without its help.
+3. Only runs whose anchor has several contents go on. The runs of an anchor
+   meet in one task, as bytes, and their suffixes are ordered through the
+   ``depth``-th byte by most-significant-digit passes of eight bytes: equal
+   groups are exactly the repeated windows, and all but the earliest start
+   are repeats. Those of an anchor with more than ``TOGETHER`` contents are
+   dealt window by window instead, by two 64-bit hashes of the window as a
+   single digit, so no anchor is too large for a task.
+
+Digits are compared by hashes in passes 1 (64 bits) and 2 (128 bits, which tell
+the contents of one anchor apart without its help), and for crowded anchors; by
+bytes in pass 3 otherwise. The first digit isn't the window's leading bytes:
+suffixes dealt by those would be a row a byte, since neighbours don't share them.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LAST_ID, POWERS_B, Prefix, batch, changes, checkpointed, identified, later, merged, mix, shuffle_partitions, sliding_min, stored
+from .common import BYTE_VALUES, POWERS_B, Prefix, batch, changes, checkpointed, identified, later, merged, mix, shuffle_partitions, sliding_min, stored
 
 GRAM = 32
 _LOW = np.uint64(0xFFFFFFFF)
@@ -232,23 +235,45 @@ def _window_hashes(data: bytes, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(Prefix(raw).grams(depth)), mix(Prefix(raw, POWERS_B).grams(depth))
 
 
+def equal_windows(raw: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``at`` (starts of windows in ``raw``) of those equal to another one of their group, and their groups.
+
+    Most-significant-digit radix passes, eight bytes a digit: each sorts the
+    groups by one more digit, cuts them where it differs and leaves alone what
+    has become single. Sorting is stable, and what is left after the last byte
+    is equal byte by byte.
+    """
+    left = np.arange(len(at))
+    for digit in range(0, depth, 8):
+        width = min(8, depth - digit)
+        word = np.zeros((len(left), 8), np.uint8)
+        word[:, :width] = np.lib.stride_tricks.sliding_window_view(raw, width)[at[left] + digit]
+        word = word.view(">u8").ravel().astype(np.uint64)
+        order = np.lexsort((word, group))
+        left, group, word = left[order], group[order], word[order]
+        group = np.cumsum(changes(group, word)) - 1
+        several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
+        left, group = left[several], group[several]
+    return left, group
+
+
 def _repeats_of_runs(tables: list[pa.RecordBatch], depth: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Repeated windows within the anchors of some runs, which come in the order of anchor, did, tid, start."""
     t = pa.Table.from_batches(tables).combine_chunks()
-    did, tid, start = (t[c].to_numpy() for c in ("did", "tid", "start"))
+    anchor, did, tid, start = (t[c].to_numpy() for c in ("h", "did", "tid", "start"))
     data = t["data"].to_pylist()
     size = np.array([len(x) for x in data], np.int64)
-    h, g = _window_hashes(b"".join(data), depth)
+    raw = np.frombuffer(b"".join(data), np.uint8)
     ends = np.cumsum(size)
     count = size - depth + 1
     run = np.repeat(np.arange(len(size)), count)
     inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = (ends - size)[run] + inner
-    h, g = h[at], g[at]
-    order = np.lexsort((g, h)) if len(h) else np.zeros(0, np.int64)
+    order, group = equal_windows(raw, at, anchor[run], depth)
     r, w = run[order], start[run[order]] + inner[order]
-    again = np.zeros(len(h), bool)
-    again[order] = later(changes(h[order], g[order]), did[r], tid[r], w)
+    again = np.zeros(len(at), bool)
+    if len(order):
+        again[order] = later(changes(group), did[r], tid[r], w)
     # neighbouring windows of a run as one row
     new = again.copy()
     new[1:] &= ~again[:-1] | (run[1:] != run[:-1])
@@ -273,10 +298,10 @@ def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False,
     for each row. A null text counts as empty. Texts shorter than
     ``depth`` bytes lose nothing. Rows equal in doc_id and text are one
     document; of texts with one doc_id the one with the smaller hash comes
-    first; a null doc_id comes last (so 2**63 - 1 reads as null). Other columns are not read. No rows give
-    no rows.
+    first; a null doc_id comes last, with 2**63 - 1. Other columns are not read. No
+    rows give no rows.
     """
-    named = identified(docs).select("did", "tid", "text")
+    named = identified(docs).select("doc_id", "did", "tid", "text")
     # only texts that share a doc_id need telling apart
     if named.groupBy("did").agg((F.min("tid") < F.max("tid")).alias("differ")).where("differ").isEmpty():
         named = named.withColumn("tid", F.lit(0).cast("long"))
@@ -306,6 +331,6 @@ def without_repeats(docs: DataFrame, depth: int = 100, with_text: bool = False,
             removed = [sum(x["stop"] - x["start"] for x in s) for s in spans]
             yield batch(schema, doc_id=b.column(0), n_bytes=n, n_removed=removed, spans=spans, kept_sha256=digests, kept=kept)
 
-    joined = named.join(found, ["did", "tid"], "left").select(F.when(F.col("did") < LAST_ID, F.col("did")).alias("doc_id"), "text", "found")
+    joined = named.join(found, ["did", "tid"], "left").select("doc_id", "text", "found")
     out = joined.mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept_sha256 string, kept binary")
     return out if with_text else out.drop("kept")
