@@ -9,6 +9,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from .common import batch, checkpointed
 
 #: Chunks whose ids a worker remembers; then it starts afresh. Ids don't depend on it.
 REMEMBERED = 1_000_000
-#: Pieces that one task packs together.
-TOGETHER = 100_000
+#: Pieces that one task packs together, and bins of each group that are opened again.
+TOGETHER, LOOSE = 100_000, 64
 _coders: dict[str, _Ids] = {}
 
 
@@ -62,14 +63,19 @@ class _Ids(dict):
         self.letters = _byte_letters()
         self[""] = b""
 
+    def plain(self, word: str) -> str:
+        """A word as the tokenizer normalises it."""
+        return self.tokenizer.normalizer.normalize_str(word)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         # A letter and a sign are never in one word, nor is case kept: most chunks share a word that is known.
+        # What counts is the last letter as normalised: a mark, into which some letters end, is a sign as well.
         word = chunk.rstrip(".,;:!?")
-        if word != chunk and word and word[-1].isalpha():
-            ids = self[word] + self[chunk[len(word) :]]
+        if word != chunk and word and (word.isascii() or (word := self.plain(word))) and word[-1].isalpha():
+            ids = self[word] + self[chunk[len(chunk.rstrip(".,;:!?")) :]]
         elif _PLAIN.fullmatch(low := chunk.lower()):
             if low != chunk:
                 ids = self[low]
@@ -153,11 +159,23 @@ def best_fit(lengths: list[int], most: int) -> list[list[int]]:
     return bins
 
 
+@dataclass(frozen=True)
+class Effort:
+    """How far the search goes; it bounds time alone, every item is packed whatever it is."""
+
+    #: Bins looked at for each exchange, and items of a bin of which pairs are tried.
+    partners: int = 24
+    items: int = 12
+    #: Changes of a bin in a pass, besides one an item, and passes.
+    steps: int = 40
+    passes: int = 8
+
+
 class _Search:
     """Moves and exchanges between underfull bins, each raising the sum of squared fills."""
 
-    def __init__(self, bins: list[list[int]], lengths: list[int], most: int):
-        self.bins, self.n, self.most = bins, lengths, most
+    def __init__(self, bins: list[list[int]], lengths: list[int], most: int, effort: Effort = Effort()):  # noqa: B008
+        self.bins, self.n, self.most, self.effort = bins, lengths, most, effort
         self.fill = [sum(lengths[i] for i in b) for b in bins]
         # what a bin could take in place of one of its items (reach), and in its gap
         self.reach: dict[int, set[tuple[int, int]]] = defaultdict(set)
@@ -204,9 +222,9 @@ class _Search:
             gap = _lowest(self.gap_mask, gap + 1)
         return -1
 
-    def _partner(self, k: int, size: int, tries: int = 24) -> tuple[int, int] | None:
+    def _partner(self, k: int, size: int) -> tuple[int, int] | None:
         """A smaller item of a bin fuller than k after the exchange, for ``size`` of k; the tightest fit first."""
-        r = _lowest(self.reach_mask, size)
+        r, tries = _lowest(self.reach_mask, size), self.effort.partners
         while r >= 0 and tries:
             for j, i in self.reach[r]:
                 grows = size - self.n[i]
@@ -229,20 +247,20 @@ class _Search:
             if found := self._partner(k, self.n[i]):
                 self._exchange(k, [i], found[0], [found[1]])
                 return True
-        for a in range(min(len(own), 12)):
-            for b in range(a + 1, min(len(own), 12)):
+        for a in range(min(len(own), self.effort.items)):
+            for b in range(a + 1, min(len(own), self.effort.items)):
                 size = self.n[own[a]] + self.n[own[b]]
                 if size < self.most and (found := self._partner(k, size)):
                     self._exchange(k, [own[a], own[b]], found[0], [found[1]])
                     return True
         return False
 
-    def run(self, steps: int = 40, passes: int = 8) -> list[list[int]]:
+    def run(self) -> list[list[int]]:
         """Empties bins from the least filled on, each with some changes a pass, until a pass changes nothing."""
-        for _ in range(passes):
+        for _ in range(self.effort.passes):
             changed = False
             for k in sorted(range(len(self.bins)), key=lambda k: (self.fill[k], k)):
-                for _ in range(steps + len(self.bins[k])):
+                for _ in range(self.effort.steps + len(self.bins[k])):
                     if not self.bins[k] or self.fill[k] == self.most or not self._step(k):
                         break
                     changed = True
@@ -251,46 +269,68 @@ class _Search:
         return [b for b in self.bins if b]
 
 
-def pack(lengths: list[int], most: int) -> list[list[int]]:
+def pack(lengths: list[int], most: int, effort: Effort = Effort()) -> list[list[int]]:  # noqa: B008
     """Bins (lists of indexes) of at most ``most`` each: best fit, then local search."""
-    return _Search(best_fit(lengths, most), lengths, most).run()
+    return _Search(best_fit(lengths, most), lengths, most, effort).run()
 
 
-def packed(cut: DataFrame, most: int = 2048, together: int = TOGETHER) -> DataFrame:
-    """Adds sequence_id and offset to rows with a length.
+#: Rounds of packing what earlier groups left over; each has hundreds of times fewer pieces than the one before.
+_ROUNDS = 8
 
-    Full pieces are sequences of their own. The others are dealt round-robin to
-    groups of about ``together`` rows, whatever their keys, and each group is
-    packed by one task; only its last bins can be left underfull for want of
-    partners, so what the split costs is a few sequences in tens of thousands.
-    """
-    spark = cut.sparkSession
-    cut = checkpointed(cut)
-    groups = max(1, -(-cut.where(F.col("length") < most).count() // together))
-    full, n = F.col("length") == most, cut.rdd.getNumPartitions()
-    at = F.monotonically_increasing_id()
-    numbered = cut.withColumn("at", at)
-    ddl = ", ".join(f"{c} {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long"
+
+def _packer(groups: int, round_: int, most: int, loose: int, effort: Effort):
+    """Packs one group; the ``loose`` emptiest bins stay open."""
 
     def apply(key: tuple, t: pa.Table) -> pa.Table:
         order = np.argsort(t["at"].to_numpy(), kind="stable")
         t = t.take(pa.array(order))
-        sequence, offset = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
+        sequence, offset, open_ = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, bool)
         lengths = t["length"].to_pylist()
-        for s, b in enumerate(pack(lengths, most)):
+        bins = pack(lengths, most, effort)
+        fills = [sum(lengths[i] for i in b) for b in bins]
+        again = {k for k in sorted(range(len(bins)), key=fills.__getitem__)[:loose] if fills[k] < most}
+        for s, b in enumerate(bins):
             place = 0
             for i in b:
-                sequence[i], offset[i] = s, place
+                sequence[i], offset[i], open_[i] = s, place, s in again
                 place += lengths[i]
         # even numbers for packed sequences, odd ones for full pieces
-        sequence = 2 * (sequence * groups + key[0].as_py())
-        return t.drop_columns(["at", "grp"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
-
-    # the low 33 bits count within a partition; partitions take turns
-    grp = ((F.col("at").bitwiseAND((1 << 33) - 1) * n + F.shiftright("at", 33)) % groups).cast("int")
-    some = numbered.where(~full).withColumn("grp", grp).groupBy("grp").applyInArrow(apply, ddl)
-    whole = numbered.where(full).withColumn("sequence_id", 2 * F.col("at") + 1).withColumn("offset", F.lit(0).cast("long")).drop("at")
-    return some.unionByName(whole)
+        sequence = 2 * (_ROUNDS * (sequence * groups + key[0].as_py()) + round_)
+        return t.drop_columns(["at", "grp"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).append_column("open", pa.array(open_))
+
+    return apply
+
+
+def packed(cut: DataFrame, most: int = 2048, together: int = TOGETHER, loose: int = LOOSE, effort: Effort = Effort()) -> DataFrame:  # noqa: B008
+    """Adds sequence_id and offset to rows with a length.
+
+    Full pieces are sequences of their own. The others are dealt round-robin to
+    groups of about ``together`` rows, whatever their keys, and each group is
+    packed by one task. The ``loose`` emptiest bins of each group are opened
+    again and their pieces packed together in the same way, until one group
+    holds them all, so what dealing costs isn't a bin a group.
+    """
+    columns = cut.columns
+    ddl = ", ".join(f"{c} {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long, open boolean"
+    cut = checkpointed(cut)
+    full = F.col("length") == most
+    done = cut.where(full).withColumn("sequence_id", 2 * F.monotonically_increasing_id() + 1).withColumn("offset", F.lit(0).cast("long"))
+    rest, left = cut.where(~full), cut.where(~full).count()
+    for round_ in range(_ROUNDS):
+        groups = max(1, -(-left // together))
+        last = groups == 1 or round_ == _ROUNDS - 1
+
+        # the low 33 bits count within a partition; partitions take turns
+        n, at = rest.rdd.getNumPartitions(), F.monotonically_increasing_id()
+        grp = ((F.col("at").bitwiseAND((1 << 33) - 1) * n + F.shiftright("at", 33)) % groups).cast("int")
+        some = rest.withColumn("at", at).withColumn("grp", grp).groupBy("grp").applyInArrow(_packer(groups, round_, most, 0 if last else loose, effort), ddl)
+        if last:
+            return done.unionByName(some.drop("open"))
+        some = checkpointed(some)
+        done = done.unionByName(some.where("NOT open").drop("open"))
+        rest = some.where("open").select(*columns)
+        left = rest.count()
+    raise AssertionError
 
 
 def packed_documents(docs: DataFrame, tokenizer: str | None = None, most: int = 2048, end_id: int = 0) -> DataFrame:

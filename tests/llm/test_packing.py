@@ -98,3 +98,32 @@ def test_edges(spark):
     assert check(got, 2048) == 1
     with pytest.raises(Exception):
         packing.pieces(spark.createDataFrame(rows, SCHEMA), "/nowhere.json").collect()
+
+
+def test_chunks_whose_letters_become_marks():
+    """Every letter whose normalised form ends in a mark, and neighbours, before signs."""
+    import sys
+    import unicodedata
+
+    path = packing.tokenizer_path()
+    t, ids = Tokenizer.from_file(path), packing._Ids(path)
+    odd = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha() and not unicodedata.normalize("NFC", chr(c)).lower()[-1].isalpha()]
+    assert {"\u0130", "\u09dc", "\u0958", "\ufb1d"} <= set(odd)
+    r = random.Random(9)
+    chunks = [x + s for x in odd for s in (".", ",;", "!?a", "")] + [f"a{x}{s}" for x in odd for s in ".:"]
+    chunks += ["".join(r.choices([*odd, *"aéÉßẞΣσςſKÅ.!?,:;'’0\u0301"], k=r.randrange(1, 7))) for _ in range(3000)]
+    for x in chunks:
+        assert list(np.frombuffer(ids[x], "<u4")) == t.encode(x, add_special_tokens=False).ids, x
+
+
+def test_groups_share_what_they_leave_over(spark):
+    r = random.Random(12)
+    rows = [(i, r.randrange(1, 2048)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, length long").repartition(7)
+    apart = packing.packed(df, together=50, loose=0).collect()
+    joined = packing.packed(df, together=50).collect()
+    one = packing.packed(df).collect()
+    assert sorted((x.doc_id, x.length) for x in joined) == rows
+    least = -(-sum(n for _, n in rows) // 2048)
+    n = [check(x, 2048) for x in (apart, joined, one)]
+    assert n[0] > n[1] and n[1] <= n[2] + 3 and n[2] <= least + 2
