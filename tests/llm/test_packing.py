@@ -118,12 +118,12 @@ def test_chunks_whose_letters_become_marks():
 
 def test_groups_share_what_they_leave_over(spark):
     r = random.Random(12)
-    rows = [(i, r.randrange(1, 2048)) for i in range(4000)]
+    rows = [(i, r.randrange(1, 500)) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, length long").repartition(7)
-    apart = packing.packed(df, together=50, loose=0).collect()
-    joined = packing.packed(df, together=50).collect()
+    apart = packing.packed(df, together=400, loose=0).collect()
+    joined = packing.packed(df, together=400, loose=16).collect()
     one = packing.packed(df).collect()
     assert sorted((x.doc_id, x.length) for x in joined) == rows
     least = -(-sum(n for _, n in rows) // 2048)
     n = [check(x, 2048) for x in (apart, joined, one)]
-    assert n[0] > n[1] and n[1] <= n[2] + 3 and n[2] <= least + 2
+    assert n[0] > n[1] and n[1] <= n[2] + 4 and n[2] <= least + 2, (n, least)
