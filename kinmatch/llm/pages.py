@@ -40,7 +40,6 @@ SURROUNDING = frozenset(
     "ad ads advert adverts advertisement advertisements adbox banner sponsor sponsored sponsors promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu menus sidebar rail footer masthead breadcrumb breadcrumbs comment comments commentary discussion disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login search widget widgets toolbar pagination pager skip".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-_DAMP = math.e
 
 
 class Node:
@@ -186,48 +185,54 @@ def _measure(body: Node) -> list[Node]:
     return order
 
 
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Characters a tag, adjusted for links by the ``share`` that links have of the page's characters."""
+    if not chars:
+        return 0.0
+    lc, t, lt, plain = max(1, link_chars), max(1, tags), max(1, link_tags), max(1, chars - link_chars)
+    base = math.log(chars / plain * link_chars + share * chars + math.e)
+    return chars / t * math.log(max(1.0, chars / lc * (t / lt))) / math.log(max(base, 1.000001))
+
+
 def _weigh(order: list[Node]) -> None:
-    """Composite text density: characters a tag, adjusted for links by how much of the page is links."""
+    """Composite text density of every node, and the sum of those of its blocks.
+
+    Inline elements are part of the text that they stand in, so they are no
+    children to be summed; text beside blocks is a block without a name.
+    """
     body = order[0]
     share = body.link_chars / max(1, body.chars)
     for x in order:
-        if x.chars:
-            c, lc, t, lt = x.chars, max(1, x.link_chars), max(1, x.tags), max(1, x.link_tags)
-            plain = max(1, c - x.link_chars)
-            base = math.log(c / plain * x.link_chars + share * c + _DAMP)
-            x.density = c / t * (math.log(max(1.0, c / lc * (t / lt))) / math.log(max(base, 1.000001)) if base > 1 else math.log(max(1.0, c / lc * (t / lt))))
+        x.density = _density(x.chars, x.tags, x.link_chars, x.link_tags, share)
     for x in order:
-        if x.parent is not None:
-            x.parent.sum += x.density
+        if x.tag in INLINE:
+            continue
+        blocks = [c for c in x.children if isinstance(c, Node) and c.tag not in INLINE and c.tag != "br"]
+        if blocks:
+            links = sum(c.link_chars for c in blocks)
+            x.sum = sum(c.density for c in blocks) + _density(x.chars - sum(c.chars for c in blocks), 1, x.link_chars - links, 1, share)
 
 
 def main_nodes(body: Node) -> list[Node]:
     """The subtrees that hold the article.
 
-    The node whose children's densities have the greatest sum, and the least
+    The node whose blocks' densities have the greatest sum, and the least
     density on its path to the body as threshold: of each subtree at or over
-    it, the node of greatest sum. Where the first one is in an article or main
-    element, or one holds at least half of the page's characters, that element
-    is the article, whole.
+    it, the node of greatest sum. Nodes that stand in one element below the body
+    are taken with what is between them: the least element that holds them all.
     """
     order = _measure(body)
     if not body.chars:
         return []
     _weigh(order)
     best = max(order, key=lambda x: x.sum)
-    if not best.sum:
-        return [body]
+    if not best.sum or best is body:
+        # density can't tell parts of the page apart; only here do elements that hold half of it say what is the article
+        return [x for x in order if x.tag in ("article", "main") and 2 * x.chars >= body.chars][:1] or [body]
     threshold, x = best.density, best
-    home = None
-    while x is not None and x.parent is not None:
-        if x.tag == "article" or x.tag == "main" and home is None:
-            home = x
+    while x is not None and x.parent is not None and x is not body:
         threshold = min(threshold, x.density)
         x = x.parent
-    if home is None:  # or the element that holds most of what was found
-        home = next((x for x in order if x.tag in ("article", "main") and 2 * x.chars >= best.chars), None)
-    if home is not None:
-        return [home]
     # greatest sum in each subtree, bottom up
     top = {}
     for x in reversed(order):
@@ -236,12 +241,11 @@ def main_nodes(body: Node) -> list[Node]:
             if isinstance(c, Node) and top[c].sum > found.sum:
                 found = top[c]
         top[x] = found
-    chosen, stack = set(), [body]
-    while stack:
-        x = stack.pop()
-        if x.density >= threshold and top[x].sum > 0:
-            chosen.add(top[x])
-        stack += [c for c in x.children if isinstance(c, Node)]
+    chosen = {top[x] for x in order if x is not body and x.density >= threshold and top[x].sum > 0} or {best}
+    chosen.add(best)
+    shared = _holder(body, chosen)
+    if shared is not body:
+        return [shared]
     out = []
     for x in order:  # the outermost ones
         p = x.parent
@@ -252,6 +256,23 @@ def main_nodes(body: Node) -> list[Node]:
     return out
 
 
+def _holder(body: Node, nodes: set[Node]) -> Node:
+    """The least element that holds all of some nodes."""
+    shared: list[Node] | None = None
+    for x in nodes:
+        path = []
+        while x is not None and x is not body:
+            path.append(x)
+            x = x.parent
+        path.reverse()
+        if shared is None:
+            shared = path
+        else:
+            n = next((k for k, (a, b) in enumerate(zip(shared, path, strict=False)) if a is not b), min(len(shared), len(path)))
+            shared = shared[:n]
+    return shared[-1] if shared else body
+
+
 def blocks(top: Node) -> list[str]:
     """Texts of the blocks in page order, white space collapsed."""
     out, now = [], []

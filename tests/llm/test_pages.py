@@ -1,3 +1,8 @@
+import math
+import random
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
 from kinmatch.llm import pages
@@ -44,6 +49,86 @@ def test_density_chooses_where_no_element_says_so():
     assert got == " ".join(f"{P}{k} word" for k in range(12))
 
 
+def plain_choice(body):
+    """Composite text density told again: recursive, over (chars, tags, link chars, link tags) of each node."""
+    inline = lambda n: n.tag in pages.INLINE or n.tag == "br"
+    kids = lambda n: [c for c in n.children if isinstance(c, pages.Node)]
+
+    def count(n, linked=False):
+        linked = linked or n.tag == "a"
+        chars = sum(len(" ".join(c.split())) for c in n.children if isinstance(c, str))
+        tags = links = link_tags = 0
+        for c in kids(n):
+            x = count(c, linked)
+            chars, tags, links, link_tags = chars + x[0], tags + x[1] + 1, links + x[2], link_tags + x[3] + (c.tag == "a")
+        return (chars, tags, chars, tags) if linked else (chars, tags, links, link_tags)
+
+    total = count(body)
+    share = total[2] / max(1, total[0])
+
+    def density(c, t, lc, lt):
+        if not c:
+            return 0.0
+        t, one, lt = max(1, t), max(1, lc), max(1, lt)
+        return c / t * math.log(max(1.0, c * t / one / lt)) / math.log(max(1.000001, math.log(c * lc / max(1, c - lc) + share * c + math.e)))
+
+    def total_of(n):
+        blocks = [c for c in kids(n) if not inline(c)]
+        if inline(n) or not blocks:
+            return 0.0
+        own, held = count(n), [count(c) for c in blocks]
+        return sum(density(*x) for x in held) + density(own[0] - sum(x[0] for x in held), 1, own[2] - sum(x[2] for x in held), 1)
+
+    def every(n):
+        return [n, *(x for c in kids(n) for x in every(c))]
+
+    best = max(every(body), key=total_of)
+    if best is body or not total_of(best):
+        return None
+    path, x = [], best
+    while x is not body:
+        path.append(x)
+        x = x.parent
+    threshold = min(density(*count(x)) for x in path)
+    found = {max(every(x), key=total_of) for x in every(body)[1:] if density(*count(x)) >= threshold * (1 - 1e-12)}
+    return {x for x in found if total_of(x) > 0} | {best}
+
+
+def test_density_against_plain_version():
+    r = random.Random(3)
+    words = lambda n: " ".join(r.choices(["some", "words", "of", "a", "longer", "text"], k=n))
+
+    def part(depth):
+        if depth == 0 or r.random() < 0.3:
+            kind = r.choice(["p", "p", "p", "li", "h2", "links"])
+            if kind == "links":
+                return "<ul>" + "".join(f"<li><a href=x>{words(2)}</a>" for _ in range(r.randrange(2, 9))) + "</ul>"
+            return f"<{kind}>{words(r.choice([1, 5, 40, 90]))} <b>{words(2)}</b> <a href=y>{words(1)}</a>{words(3)}</{kind}>"
+        return f"<{r.choice(['div', 'section'])}>{r.choice(['', words(4)])}" + "".join(part(depth - 1) for _ in range(r.randrange(1, 5))) + "</div></section>"
+
+    chosen = 0
+    for _ in range(150):
+        body = pages.parse("<body>" + "".join(part(3) for _ in range(r.randrange(1, 5))))
+        want, got = plain_choice(body), pages.main_nodes(body)
+        if want is None:
+            assert got == [body]
+            continue
+        chosen += 1
+        held = lambda x, tops: any(x is t or held(x.parent, tops) for t in tops) if x is not None else False
+        assert all(held(x, got) for x in want)
+        # nothing else: the outermost of them, or the least element around all of them
+        assert set(got) <= want or len(got) == 1 and not any(isinstance(c, pages.Node) and all(held(x, [c]) for x in want) for c in got[0].children)
+    assert chosen > 60
+
+
+def test_pages_without_article_elements():
+    """Elements that say what they are don't decide: the same text comes where they are plain."""
+    table = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    assert len(table) == 250
+    for source in table:
+        assert pages.main_text(source) == pages.main_text(re.sub(r"<(/?)article\b", r"<\1div", source)) != ""
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
     assert pages.main_text(deep) == "x"
