@@ -60,15 +60,38 @@ def _vectors(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, values[bounds[rows][:, None] + np.arange(d)]
 
 
-def _dealt(vectors: DataFrame, cosine: float, grid: int) -> DataFrame:
-    """Rows (d, block, cell, guest, vid, w, vec) of vectors vid, w, vec.
+def _cells(turned: np.ndarray, s: int, e: int, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Rows, their cells on a grid over coordinates s to e, and whether they are guests there.
+
+    Cells are twice the reach wide, so on each coordinate a vector is near one
+    neighbour only. Of two cells the greater one's vectors visit.
+    """
+    y, step = turned[:, s:e], 2 * reach
+    own = np.floor(y / step).astype(np.int64)
+    side = np.where(y - own * step <= reach, -1, 1)
+    for mask in range(1 << y.shape[1]):
+        moved = [c for c in range(y.shape[1]) if mask >> c & 1]
+        rows = np.flatnonzero(side[:, moved[0]] < 0) if moved else np.arange(len(y))
+        to = own[rows]
+        to[:, moved] += side[rows][:, moved]
+        cell = np.zeros(len(rows), np.uint64)
+        for c in range(y.shape[1]):
+            cell = mix(cell + to[:, c].view(np.uint64))
+        yield rows, cell.view(np.int64), bool(moved)
+
+
+def _placed(vectors: DataFrame, cosine: float, grid: int, home_only: bool) -> DataFrame:
+    """Rows (d, block, cell, guest, vid, w, vec) of vectors vid, w, vec; without the last three and guests, if asked for.
 
     Each vector is at home in its cell of each block, and a guest in those
     neighbouring cells of smaller number that a linked vector may be in.
     """
     element = dict(vectors.dtypes)["vec"]
     real = pa.float32() if element == "array<float>" else pa.float64()
-    schema = pa.schema([("d", pa.int32()), ("block", pa.int32()), ("cell", pa.int64()), ("guest", pa.bool_()), ("vid", pa.int64()), ("w", pa.int64()), ("vec", pa.list_(real))])
+    fields = [("d", pa.int32()), ("block", pa.int32()), ("cell", pa.int64())]
+    if not home_only:
+        fields += [("guest", pa.bool_()), ("vid", pa.int64()), ("w", pa.int64()), ("vec", pa.list_(real))]
+    schema = pa.schema(fields)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -78,25 +101,18 @@ def _dealt(vectors: DataFrame, cosine: float, grid: int) -> DataFrame:
                 turned = _units(x) @ _rotation(d)
                 for k, (s, e) in enumerate(_blocks(d)):
                     reach = math.sqrt((2 - 2 * cosine) * (e - s) / d + _SLACK)
-                    step = 2 * reach
-                    y = turned[:, s : min(e, s + grid)]
-                    own = np.floor(y / step).astype(np.int64)
-                    for shift in np.ndindex(*(3,) * y.shape[1]):
-                        shift = np.array(shift) - 1
-                        if shift.any() and shift[np.flatnonzero(shift)[0]] > 0:
-                            continue  # of two cells the greater one's vectors visit
-                        near = ((shift == 0) | ((shift < 0) & (y - own * step <= reach)) | ((shift > 0) & ((own + 1) * step - y <= reach))).all(axis=1)
-                        n = np.flatnonzero(near)
+                    for n, cell, guest in _cells(turned, s, min(e, s + grid), reach):
+                        at = {"d": np.full(len(n), d, np.int32), "block": np.full(len(n), k, np.int32), "cell": cell}
+                        if home_only:
+                            yield batch(schema, **at)
+                            break  # home comes first
                         if not len(n):
                             continue
-                        to = own[n] + shift
-                        cell = np.zeros(len(n), np.uint64)
-                        for c in range(y.shape[1]):
-                            cell = mix(cell + to[:, c].view(np.uint64))
                         vec = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * d), pa.array(x[n].ravel(), real))
-                        yield batch(schema, d=np.full(len(n), d, np.int32), block=np.full(len(n), k, np.int32), cell=cell.view(np.int64), guest=np.full(len(n), bool(shift.any())), vid=vid[rows[n]], w=w[rows[n]], vec=vec)
+                        yield batch(schema, **at, guest=np.full(len(n), guest), vid=vid[rows[n]], w=w[rows[n]], vec=vec)
 
-    return vectors.select("vid", "w", "vec").mapInArrow(apply, f"d int, block int, cell long, guest boolean, vid long, w long, vec {element}")
+    ddl = "d int, block int, cell long" + ("" if home_only else f", guest boolean, vid long, w long, vec {element}")
+    return vectors.select("vid", "w", "vec").mapInArrow(apply, ddl)
 
 
 class _Cell:
@@ -185,9 +201,9 @@ def _linked(vectors: DataFrame, cosine: float, grid: int, home: int = HOME) -> D
     A cell with more than ``home`` vectors at home is cut into parts by hash;
     each part meets the later parts and the cell's guests in a task of its own.
     """
-    dealt = _dealt(vectors, cosine, grid)
     cell = ["d", "block", "cell"]
-    sizes = dealt.where(~F.col("guest")).groupBy(cell).count().where(F.col("count") > home)
+    sizes = _placed(vectors, cosine, grid, True).groupBy(cell).count().where(F.col("count") > home)
+    dealt = _placed(vectors, cosine, grid, False)
     sizes = sizes.select(*cell, F.ceil(F.col("count") / home).cast("int").alias("parts"))
     dealt = dealt.join(sizes, cell, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")
