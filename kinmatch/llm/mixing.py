@@ -9,6 +9,8 @@ from .common import checkpointed, identified
 
 #: Bytes up to which the table of sources goes to every task; beyond, both sides are dealt by source.
 SENT_BYTES = 8 << 20
+#: The inclusion odds of a document fall with its size to this power; 0 makes them equal.
+TILT = 0.5
 #: Bins of the first look at a source's order; only documents of one bin a source are ordered one by one.
 BINS = 4096
 
@@ -26,7 +28,7 @@ def _uniform(seed: int) -> Column:
 
 
 def targets(sizes: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """source, source_size, target from rows of source, source_size.
+    """The rows (source, source_size and any other columns) with their target.
 
     The sources, by code point with null last, weigh ``weights``, repeating.
     They share the sum of all sizes; a target stops at ``max_copies`` times its
@@ -49,59 +51,73 @@ def targets(sizes: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1
     first = F.min(F.when(F.col("stops_at") >= F.col("level"), F.struct("place", "level"))).over(everything)
     s = s.withColumn("held", first["level"])
     target = F.when(F.col("stops_at") >= F.col("held"), F.col("w") * F.col("held")).otherwise(F.col("top").cast("double"))
-    return s.select("source", "source_size", target.alias("target"))
+    return s.select(*sizes.columns, target.alias("target"))
 
 
-def plan(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: int = 8) -> tuple[DataFrame, DataFrame]:
+def _rank(tilt: float) -> Column:
+    """A document's odds of u over those of its inclusion, as a number from 0 to 1 that rises with it.
+
+    The inclusion odds are p / (1 - p), as the source asks for, for a document
+    of the source's mean size, and fall with the size to the power ``tilt``.
+    """
+    relative = F.greatest("size", F.lit(1)) / (F.col("source_size") / F.col("docs"))
+    relative = F.sqrt(relative) if tilt == 0.5 else F.pow(relative, F.lit(float(tilt)))
+    q = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")) / relative)
+    return q / (1 + q)
+
+
+def _with_sources(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """Rows with their source's columns. The table of sources goes to every task only if it is small, whatever the reason."""
+    held = per_source.agg(F.coalesce(F.sum(F.length("key") * 4 + 128), F.lit(0))).first()[0]
+    sources = F.broadcast(per_source) if held <= SENT_BYTES else per_source
+    return rows.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).join(sources, ["key", "none"])
+
+
+def plan(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: int = 8, tilt: float = TILT) -> tuple[DataFrame, DataFrame]:
     """Sized documents (doc_id, did, tid, source, size, u) and, per source, what is taken of it.
 
     Of a source of which the mix takes target words, each document is taken
     floor(target / source_size) times for certain. The rest of the target is a
-    Pareto sample: documents rank by (u / (1 - u)) / (p / (1 - p)) with u
-    uniform and p the inclusion probability of the rest, and go in by rank
-    until their words come nearest to it. Where the order is cut is found
+    Pareto sample of unequal probabilities: documents rank by their odds of u,
+    uniform, over the odds of their inclusion (``_rank``), and go in by rank
+    until their words come nearest to the rest. Where the order is cut is found
     from sums over bins of it, then in one bin alone; it is a row a source,
-    (cut_q, cut_did, cut_tid), up to which documents are taken once more.
+    (cut), up to which documents are taken once more.
     """
     sized = identified(docs, "source").select("doc_id", "did", "tid", "source", word_count(F.col("text")).alias("size"))
     sized = checkpointed(sized.withColumn("u", _uniform(seed)))
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     s = targets(sums, max_copies, weights).withColumn("rate", rate)
     s = s.withColumn("whole", F.floor("rate").cast("long")).withColumn("p", F.col("rate") - F.col("whole"))
-    s = checkpointed(s.withColumn("rest", F.col("p") * F.col("source_size")).withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()))
+    s = checkpointed(s.withColumn("rest", F.col("p") * F.col("source_size")).withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull()).drop("source", "rate"))
 
-    keyed = sized.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
-    keyed = keyed.withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))  # the odds' order within a source is u's
-    bins = keyed.groupBy("key", "none", "bin").agg(F.sum("size").alias("words"))
+    keyed = _with_sources(sized, s.where("p > 0")).withColumn("rank", _rank(tilt))
+    keyed = keyed.withColumn("bin", F.floor(F.col("rank") * BINS).cast("int")).select("key", "none", "bin", "rank", "did", "tid", "size", "rest")
+    bins = keyed.groupBy("key", "none", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     before = Window.partitionBy("key", "none").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    cut_bin = bins.join(s.select("key", "none", "rest", "p"), ["key", "none"])
-    cut_bin = cut_bin.where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("words"))).select("key", "none", "bin", "before", "rest", "p")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    fine = keyed.join(cut_bin, ["key", "none", "bin"]).withColumn("q", odds)
+    cut_bin = checkpointed(bins.where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("words"))).select("key", "none", "bin", "before"))
+    fine = keyed.join(cut_bin, ["key", "none", "bin"])
     # rows equal in doc_id and text share their fate
-    fine = fine.groupBy("key", "none", "q", "did", "tid").agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"))
-    order = Window.partitionBy("key", "none").orderBy("q", "did", "tid")
+    fine = fine.groupBy("key", "none", "rank", "did", "tid").agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    order = Window.partitionBy("key", "none").orderBy("rank", "did", "tid")
     fine = fine.withColumn("after", F.col("before") + F.sum("words").over(order))
     # in, if that comes nearer to the rest than to stop before
     fine = fine.where((F.col("after") - F.col("words") < F.col("rest")) & (F.col("after") - F.col("rest") <= F.col("rest") - (F.col("after") - F.col("words"))))
-    cuts = fine.groupBy("key", "none").agg(F.max(F.struct("q", "did", "tid")).alias("cut"))
+    cuts = fine.groupBy("key", "none").agg(F.max(F.struct("rank", "did", "tid")).alias("cut"))
     # where no document of the bin goes in, the bins before it do
-    lower = cut_bin.select("key", "none", (F.col("bin") / BINS).alias("lower_u"))
+    lower = cut_bin.select("key", "none", F.col("bin").alias("lower"))
     s = s.join(lower, ["key", "none"], "left").join(cuts, ["key", "none"], "left")
-    return sized, checkpointed(s.select("key", "none", "source_size", "target", "whole", "p", "lower_u", "cut"))
+    return sized, checkpointed(s.select("key", "none", "source_size", "docs", "target", "whole", "p", "lower", "cut"))
 
 
-def with_taken(sized: DataFrame, per_source: DataFrame) -> DataFrame:
-    """Adds source_size, target and copies to rows with source, u, did, tid."""
-    q = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    once_more = (F.col("u") < F.col("lower_u")) | F.coalesce(F.struct(q.alias("q"), "did", "tid") <= F.col("cut"), F.lit(False))
-    keyed = sized.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
+def with_taken(sized: DataFrame, per_source: DataFrame, tilt: float = TILT) -> DataFrame:
+    """Adds source_size, target and copies to rows with source, size, u, did, tid."""
+    joined = _with_sources(sized, per_source).withColumn("rank", F.when(F.col("p") > 0, _rank(tilt)))
+    once_more = (F.floor(F.col("rank") * BINS).cast("int") < F.col("lower")) | F.coalesce(F.struct("rank", "did", "tid") <= F.col("cut"), F.lit(False))
     copies = F.col("whole") + F.when((F.col("p") > 0) & F.coalesce(once_more, F.lit(False)), 1).otherwise(0)
-    held = per_source.agg(F.coalesce(F.sum(F.length("key") * 4 + 128), F.lit(0))).first()[0]
-    sources = F.broadcast(per_source) if held <= SENT_BYTES else per_source
-    return keyed.join(sources, ["key", "none"]).withColumn("copies", copies)
+    return joined.withColumn("copies", copies)
 
 
 def mix(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: int = 8) -> DataFrame:
@@ -127,6 +143,7 @@ def mixed_documents(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ..
         F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("did"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("tid"),
         "source",
+        word_count(F.col("text")).alias("size"),
     ).withColumn("u", _uniform(seed))
     taken = with_taken(named, per_source).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
@@ -139,7 +156,7 @@ WITH d AS (
          (('0x' || substr(sha256('8:' || doc_id), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
   FROM documents),
 w AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs,
          ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w
   FROM d GROUP BY source),
 l AS (
@@ -150,15 +167,16 @@ l AS (
     p AS (ORDER BY source_size * 3 / w, source NULLS LAST)),
 h AS (SELECT arg_min(level, place) AS held FROM l WHERE stops_at >= level),
 t AS (
-  SELECT source, source_size, CASE WHEN stops_at >= held THEN w * held ELSE (source_size * 3)::DOUBLE END AS target
+  SELECT source, source_size, docs, CASE WHEN stops_at >= held THEN w * held ELSE (source_size * 3)::DOUBLE END AS target
   FROM l CROSS JOIN h),
 r AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
-q AS (
-  SELECT d.doc_id, d.size, r.source_size, r.target, floor(rate)::BIGINT AS whole, (rate - floor(rate)) * r.source_size AS rest,
-         sum(d.size) OVER (PARTITION BY d.source
-           ORDER BY (u / (1 - u)) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))), d.doc_id) AS after
-  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+o AS (
+  SELECT d.*, r.source_size, r.target, floor(rate)::BIGINT AS whole, (rate - floor(rate)) * r.source_size AS rest, rate - floor(rate) AS p,
+         sqrt(greatest(d.size, 1) / (r.source_size / r.docs)) AS relative
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+v AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p) / relative) END AS odds FROM o),
+q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id) AS after FROM v)
 SELECT doc_id, size, source_size, target,
        size * (whole + CASE WHEN rest > 0 AND after - size < rest AND after - rest <= rest - (after - size) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM q

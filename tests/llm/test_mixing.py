@@ -71,6 +71,27 @@ def test_mix(spark, monkeypatch, sent):
     assert dict(words) == {s: n for s, n in taken.items() if n or s in words}
 
 
+def test_odds_of_inclusion_fall_with_size(spark):
+    r = random.Random(8)
+    rows = [(i, "w " * (5 if i % 2 else 80), r.choice("ab")) for i in range(6000)]
+    got = mixing.mix(docs(spark, rows)).collect()
+    taken, target = defaultdict(int), {}
+    share = defaultdict(list)
+    of = {i: s for i, _, s in rows}
+    for x in got:
+        taken[of[x.doc_id]] += x.taken
+        target[of[x.doc_id]] = (x.target, x.source_size)
+        share[of[x.doc_id], x.size].append(x.taken // x.size - int(x.target // x.source_size))
+    for s, (t, size) in target.items():
+        assert abs(taken[s] - t) <= 80
+        assert all(set(share[s, n]) <= {0, 1} for n in (5, 80))
+        p = {n: sum(share[s, n]) / len(share[s, n]) for n in (5, 80)}
+        # the odds, and not only the order, are as stated: their ratio is the root of that of the sizes
+        odds = {n: p[n] / (1 - p[n]) for n in p}
+        assert 3 < odds[5] / odds[80] < 5.3, (s, p)
+        assert abs((5 * sum(share[s, 5]) + 80 * sum(share[s, 80])) - (t - int(t // size) * size)) <= 80
+
+
 def test_edges(spark):
     assert mixing.mix(docs(spark, [])).collect() == []
     assert [x.taken for x in mixing.mix(docs(spark, [(1, None, None)])).collect()] == [0]
