@@ -60,6 +60,18 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _parts(codes: np.ndarray) -> Iterator[np.ndarray]:
+    """About _CHUNK code points at a time, cut where a letter doesn't meet a letter."""
+    start = 0
+    while start < len(codes):
+        stop = min(len(codes), start + _CHUNK)
+        while stop < len(codes) and _is_letter(codes[stop - 1]) and _is_letter(codes[stop]):
+            gap = np.flatnonzero(~_is_letter(codes[stop : stop + _CHUNK]))
+            stop = stop + int(gap[0]) if len(gap) else min(len(codes), stop + _CHUNK)
+        yield codes[start:stop]
+        start = stop
+
+
 def held_out():
     """Whether the CRC-32 of doc_id, as text, leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -84,9 +96,8 @@ def learn(docs: DataFrame, documents: int = 20_000, smoothing: float = 0.5) -> M
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 have = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                codes = _codes(text)
-                for s in range(0, len(codes), _CHUNK):
-                    have += np.bincount(_features(codes[s : s + _CHUNK])[1], minlength=BUCKETS)
+                for part in _parts(_codes(text)):
+                    have += np.bincount(_features(part)[1], minlength=BUCKETS)
         for lang, have in total.items():
             k = np.flatnonzero(have)
             yield batch(schema, lang=[lang] * len(k), bucket=k, n=have[k])
@@ -117,7 +128,6 @@ def _word_logs(texts: list[str], model: Model) -> Iterator[tuple[list[int], np.n
         if not len(at):
             return
         starts = np.flatnonzero(begins)
-        # a long text may have to be cut inside of a stretch without blanks: that counts as two words
         logs = np.add.reduceat(model.logs[buckets], starts, axis=0, dtype=np.float32)
         ends = np.cumsum([len(c) + 1 for _, c in held])
         n = np.diff(np.searchsorted(at[starts], ends, side="left"), prepend=0)
@@ -133,10 +143,9 @@ def _word_logs(texts: list[str], model: Model) -> Iterator[tuple[list[int], np.n
                 done += k
 
     for row, text in enumerate(texts):
-        codes = _codes(text)
-        for s in range(0, len(codes), _CHUNK):
-            held.append((row, codes[s : s + _CHUNK]))
-            size += len(held[-1][1])
+        for part in _parts(_codes(text)):
+            held.append((row, part))
+            size += len(part)
             if size >= _CHUNK:
                 flush()
                 held, size = [], 0

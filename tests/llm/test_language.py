@@ -97,3 +97,15 @@ def test_held_out_accuracy(spark):
     assert len(got) > 200 and right / len(got) > 0.97, right / len(got)
     small = [x for x in L.languages(docs, documents=100).collect() if x.held_out]
     assert sum(x.lang_pred == truth[x.doc_id] for x in small) / len(small) > 0.9
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    r = random.Random(9)
+    text = "".join(r.choices("abc \u00e9-\n1", weights=[9, 9, 9, 2, 9, 1, 1, 1], k=5000)) + "x" * 700
+    codes = L._codes(text)
+    whole = L._features(codes)[1].tolist()
+    for chunk in (1, 7, 64, 600):
+        monkeypatch.setattr(L, "_CHUNK", chunk)
+        parts = list(L._parts(codes))
+        assert np.concatenate(parts).tolist() == codes.tolist()
+        assert [x for p in parts for x in L._features(p)[1].tolist()] == whole

@@ -51,7 +51,7 @@ def test_stages(spark, rows):
     docs = frame(spark, rows)
     model = language.learn(docs)
     names, shares = language.identify([x[1] for x in rows], model)
-    want = [x for x, n, p in zip(rows, names, shares) if n != "und" and p >= 0.5]
+    want = [x for x, n, p in zip(rows, names, shares) if n != "und" and p >= corpus_pipeline.MAIN_LANGUAGE]
     first = stages["language"](spark, docs, "")
     assert plain(map(tuple, first.collect())) == plain(want)
     assert {300, 301, 302}.isdisjoint(x[0] for x in want) and len(want) >= len(rows) - 6
@@ -115,6 +115,16 @@ def test_empty_tables_and_extra_columns(spark, rows):
             assert out.columns == list(corpus_pipeline.COLUMNS)
 
 
+def test_language_rejects_halves_and_keeps_the_rest(spark, rows):
+    r = random.Random(13)
+    of = {"en": [w for x in rows if x[2] == "en" and x[1] for w in x[1].split()], "de": [w for x in rows if x[2] == "de" and x[1] for w in x[1].split()]}
+    mixed = [(1000 + i, " ".join(r.choices(of["en"], k=120) + r.choices(of["de"], k=120)), "en", "a", 1) for i in range(10)]
+    kept = {x.doc_id for x in dict(corpus_pipeline.STAGES)["language"](spark, frame(spark, rows + mixed), "").collect()}
+    assert not kept & {x[0] for x in mixed}
+    clean = {x[0] for x in rows if x[1] and any(c.isalpha() for c in x[1])}
+    assert clean <= kept
+
+
 def test_short_lines_and_lines_without_blanks_go_once_repeated(spark):
     texts = ["All rights reserved.\n\n这是一个没有空格的长句子。\none of the first", "one of the second\n\nall  rights RESERVED.\n\n这是一个没有空格的长句子。", "ภาษาไทยไม่มีช่องว่าง\nภาษาไทยไม่มีช่องว่าง"]
     docs = frame(spark, [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
