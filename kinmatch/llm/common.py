@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,38 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Lets Spark remove a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """What runs here is written to the shared folder and read from there: its shuffle files are of no more use."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, with its lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_folder(spark)
+    with _without_leftovers(spark):
+        return df.select("*").checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Like ``checkpointed``, as a Parquet table: smaller, and read by column. It goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _without_leftovers(spark):
+        df.write.parquet(path)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
