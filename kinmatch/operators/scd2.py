@@ -14,7 +14,8 @@ from ..state import MATCHED, Params, State
 
 def row_hash(columns: list[str], charset: str = "UTF-8") -> Column:
     """SHA-256 of the columns joined by |, nulls left out, as bytes."""
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    flag = lambda c: F.col(c).cast("int") if c == "rnvp_ok" else F.col(c)
+    text = F.concat_ws("|", *[flag(c).cast("string") for c in columns])
     return F.unhex(F.sha2(F.encode(text, charset), 256))
 
 
@@ -27,20 +28,21 @@ def merge(golden: DataFrame, name: str, source: DataFrame, keys: list[str], now:
     """
     key = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
     s = source.withColumn("__key", F.array(*key))
-    g = golden.withColumn("__key", F.array(*key))
+    # history doesn't change: only current rows meet the source
+    history, g = golden.where(~F.coalesce("is_current", F.lit(False))), golden.where("is_current").withColumn("__key", F.array(*key))
     hashes = s.select("__key", F.col("row_hash").alias("__new"))
-    stale = F.col("is_current") & (F.col("row_hash") != F.col("__new"))
+    stale = F.col("row_hash") != F.col("__new")
     kept = g.join(hashes, "__key", "left").withColumns({
         "valid_to": F.when(stale, now).otherwise(F.col("valid_to")),
         "updated_at": F.when(stale, now).otherwise(F.col("updated_at")),
-        "is_current": F.when(stale, F.lit(False)).otherwise(F.col("is_current")),
+        "is_current": ~F.coalesce(stale, F.lit(False)),
     })
-    open_ = g.where("is_current").select("__key", F.col("row_hash").alias("__old"))
+    open_ = g.select("__key", F.col("row_hash").alias("__old"))
     new = s.join(open_, "__key", "left").where(F.col("__old").isNull() | (F.col("__old") != F.col("row_hash")))
     new = new.withColumns({"valid_from": now, "is_current": F.lit(True), "created_at": now, "updated_at": now, "valid_to": F.lit(None)})
     if source_system:
         new = new.withColumn("source_system", F.lit(source_system))
-    return conform(kept, name).unionByName(conform(new, name))
+    return history.unionByName(conform(kept, name)).unionByName(conform(new, name))
 
 
 def watermark(state: State, label: str) -> datetime | None:
@@ -69,7 +71,7 @@ def person_source(staged: DataFrame, mapping: DataFrame, params: Params) -> Data
     m = mapping.where(F.col("spe_match_status").isin(*params.merge_statuses) & F.col("spe_masterid").isNotNull())
     rows = staged.join(m.select("id_ligne_declaration", "spe_masterid"), "id_ligne_declaration")
     rows = _latest(rows, "spe_masterid", MATCH).withColumn("rnvp_ok", F.lit(None).cast("boolean"))
-    rows = rows.withColumn("row_hash", row_hash(MATCH, params.hash_charset))
+    rows = rows.withColumn("row_hash", row_hash([*MATCH, "rnvp_ok"], params.hash_charset))
     return rows.withColumnsRenamed({"spe_nom_normalized": "spe_nom", "spe_prenom_normalized": "spe_prenom"})
 
 
@@ -77,7 +79,8 @@ def company_source(staged: DataFrame, mapping: DataFrame, params: Params) -> Dat
     m = mapping.where((F.col("pe_match_status") == MATCHED) & F.col("pe_masterid").isNotNull())
     rows = staged.drop("pe_masterid").join(m.select("id_ligne_declaration", "pe_masterid"), "id_ligne_declaration")
     rows = _latest(rows, "pe_masterid", ["pseudo_siret"])
-    return rows.withColumn("row_hash", row_hash(["pseudo_siret"], params.hash_charset))
+    rows = rows.withColumn("rnvp_ok", F.lit(None).cast("boolean"))
+    return rows.withColumn("row_hash", row_hash(["pseudo_siret", "rnvp_ok"], params.hash_charset))
 
 
 def relation_source(staged: DataFrame, mapping: DataFrame, params: Params, employment_type: Column | None = None, started: Column | None = None) -> DataFrame:

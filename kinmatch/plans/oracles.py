@@ -91,6 +91,16 @@ map8 AS (
          m.pe, m.pe_status, coalesce(b.best, m.best) AS best, coalesce(b.score, m.score) AS score
   FROM map4 m FULL JOIN masters n ON m.id = n.node LEFT JOIN clustered c ON c.id = n.node LEFT JOIN best_in b ON b.node = n.node
   WHERE m.id IS NOT NULL OR n.master IS NOT NULL OR b.node IS NOT NULL),
+relations AS (
+  SELECT m.master::BIGINT AS spe, m.pe::BIGINT AS pe FROM staged s JOIN map8 m ON s.id = m.id
+  WHERE m.status = 'Matched' AND m.pe_status = 'Matched' AND m.master IS NOT NULL AND m.pe IS NOT NULL GROUP BY ALL),
+choices AS (
+  SELECT id, id AS decision, CASE WHEN id % 60 = 7 THEN 'APPROVED' WHEN id % 90 = 37 THEN 'REJECTED' ELSE 'PENDING' END AS status, id - 7 AS chosen, id % 3 AS day FROM people WHERE id % 30 = 7
+  UNION ALL SELECT id, id + 500000000, 'REJECTED', NULL, 5 FROM people WHERE id % 120 = 7),
+decided_in_run AS (
+  SELECT id, status, chosen FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC, decision DESC) AS rn FROM choices
+    WHERE status IN ('APPROVED', 'REJECTED') AND decision % 4 = 1) WHERE rn = 1),
 decided AS (
   SELECT id, status, chosen FROM (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY day DESC, decision DESC) AS rn FROM (
@@ -162,6 +172,45 @@ FROM (SELECT id - id % 6 AS spe_masterid, id % 6 + 1 AS pe_masterid, CASE WHEN (
       FROM staged GROUP BY ALL)""",
     "stewardship_approved": "SELECT id, master AS spe_masterid, status AS spe_match_status FROM stewarded WHERE status = 'Matched'",
     "stewardship_rejected": "SELECT id, master AS spe_masterid, status AS spe_match_status FROM stewarded WHERE status = 'Rejected'",
+    "person_new_formats": """
+SELECT new_id::BIGINT AS spe_masterid, nom, prenom, dob, commune FROM clusters
+UNION ALL SELECT p.new_id::BIGINT, r.nom, r.prenom, r.dob, r.commune FROM pivot_ids p JOIN rest r ON r.id = p.pivot_node""",
+    "relation_run": """
+SELECT spe AS spe_masterid, pe AS pe_masterid, '' AS employment_type, spe % 4 <> 0 AS is_current, spe % 4 <> 0 AS is_open, CASE WHEN spe % 4 = 0 THEN sha256('old') ELSE sha256('') END AS row_hash FROM relations WHERE spe % 2 = 0
+UNION ALL SELECT spe, pe, '', FALSE, FALSE, CASE WHEN spe % 4 = 0 THEN sha256('old') ELSE sha256('') END FROM relations WHERE spe % 2 = 0
+UNION ALL SELECT spe, pe, NULL, TRUE, TRUE, sha256('') FROM relations WHERE spe % 4 = 0 OR spe % 2 = 1""",
+    "merge_watermark": """
+SELECT spe_masterid, spe_nom, TRUE AS is_current, '2024-03-01' AS marked
+FROM (SELECT m.master::BIGINT AS spe_masterid, nom AS spe_nom, row_number() OVER (PARTITION BY m.master ORDER BY day DESC, s.id DESC) AS rn
+      FROM staged s JOIN map8 m ON s.id = m.id WHERE m.status = 'Matched' AND m.master IS NOT NULL AND day >= 3) WHERE rn = 1""",
+    "second_run": """
+SELECT id FROM staged WHERE id IN (SELECT id FROM map0 WHERE NOT is_open) OR id NOT IN (SELECT id FROM map8)""",
+    "repeated_step": "SELECT 'demo' AS run_id, count(*)::BIGINT AS persons FROM staged UNION ALL SELECT 'demo2', count(*) FROM staged",
+    "step_metrics": """
+SELECT '01_stage_new_declarations:stg_new_decl_spe' AS step, count(*)::BIGINT AS row_count FROM staged
+UNION ALL SELECT '01_stage_new_declarations:stg_new_decl_pe', count(*) FROM firm_staged
+UNION ALL SELECT '02_match_pe:mapping', count(*) FROM map2
+UNION ALL SELECT '02_match_pe:pe_enriched', (SELECT count(*) FROM firm_fmt) + (SELECT count(*) FROM firm_match WHERE pe > 2000000000)
+UNION ALL SELECT '03_match_spe_deterministic:mapping', count(*) FROM map3
+UNION ALL SELECT '03_match_spe_deterministic:stg_spe_nonmatched', count(*) FROM rest
+UNION ALL SELECT '04_match_spe_probabilistic_candidates:mapping', count(*) FROM map4
+UNION ALL SELECT '04_match_spe_probabilistic_candidates:spe_match_candidates', count(*) FROM cand
+UNION ALL SELECT '05_build_intrarun_graph:spe_nodes', count(*) FROM rest
+UNION ALL SELECT '05_build_intrarun_graph:spe_edges', count(*) FROM edges
+UNION ALL SELECT '06_compute_connected_components:spe_components', count(*) FROM rest""",
+    "run_journal": """
+SELECT * FROM (VALUES ('run1', 'error', '01_only', 'a step broke', FALSE), ('run1', 'run', 'Failed', 'a step broke', TRUE), ('run0', 'run', 'Success', NULL, TRUE)) AS t(run_id, kind, what, message, in_order)""",
+    "top_components": "SELECT comp AS component_id, node AS node_id FROM comp ORDER BY comp, node LIMIT 10",
+    "candidate_report": "SELECT node AS node_id, master::BIGINT AS candidate, round(score, 6) AS score_total FROM intrarun ORDER BY node, master",
+    "status_report": "SELECT id, concat(status, ':', master, ':', pe) AS line FROM map8 WHERE status IN ('Created', 'Matched') ORDER BY id",
+    "stewardship_formats": """
+SELECT DISTINCT d.chosen AS spe_masterid, r.nom, r.prenom, r.dob, r.commune FROM decided d JOIN rest r ON r.id = d.id
+WHERE d.status = 'APPROVED' AND NOT EXISTS (SELECT 1 FROM fmt f WHERE f.master = d.chosen AND f.nom IS NOT DISTINCT FROM r.nom AND f.prenom IS NOT DISTINCT FROM r.prenom AND f.dob IS NOT DISTINCT FROM r.dob AND f.commune IS NOT DISTINCT FROM r.commune)""",
+    "stewardship_of_run": """
+SELECT coalesce(m.id, d.id) AS id, CASE WHEN d.status = 'APPROVED' THEN d.chosen ELSE m.master END AS spe_masterid,
+       CASE d.status WHEN 'APPROVED' THEN 'Matched' WHEN 'REJECTED' THEN 'Rejected' ELSE m.status END AS spe_match_status
+FROM map0 m FULL JOIN decided_in_run d ON m.id = d.id""",
+    "rounds_counted": "SELECT node AS node_id, comp AS component_id FROM comp",
 }
 
 ORACLE_SQL = {name: f"{PRELUDE}{select}" for name, select in SELECTS.items()}

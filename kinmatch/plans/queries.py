@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
-from ..operators import companies, dedup, graph, persons, scd2, stewardship
+from ..operators import companies, dedup, graph, persons, scd2, staging, stewardship
 from ..runtime import checkpointed
 from ..sources import canon, demo
 from ..state import Params, State
-from .runner import STEPS
+from .runner import STEPS, RunLog, run_steps
 
 RUN = Params(run_id="demo", run_ts=datetime(2024, 3, 1))
+#: A run after that one.
+NEXT = replace(RUN, run_id="demo2", run_ts=datetime(2024, 3, 2))
 A = sim.MATCH
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -310,3 +313,129 @@ def stewardship_approved(spark, sf_dir):
 def stewardship_rejected(spark, sf_dir):
     s = stewardship.apply_decisions(demo.state(spark, sf_dir), RUN)
     return s["mapping"].where("spe_match_status = 'Rejected'").select(_id(), "spe_masterid", "spe_match_status")
+
+
+@query
+def person_new_formats(spark, sf_dir):
+    """Formats that steps 07 and 08 write: one of each exact cluster, one of each pivot."""
+    new = after(spark, sf_dir, 8)["spe_enriched"].where(F.col("created_at") == RUN.now)
+    return new.select("spe_masterid", F.col(A[0]).alias("nom"), F.col(A[1]).alias("prenom"), F.col(A[2]).alias("dob"), F.col(A[3]).alias("commune"))
+
+
+@query
+def relation_run(spark, sf_dir):
+    """Step 11 after the others, into golden relations: of every second one a current row is there, with an empty employment type; half of those differ."""
+    s = after(spark, sf_dir, 9)
+    source = scd2.relation_source(s["stg_new_decl_spe"], s["mapping"], RUN)
+    old = source.where("spe_masterid % 2 = 0").select(
+        "spe_masterid", "pe_masterid", F.lit("").alias("employment_type"), F.lit(True).alias("is_current"), F.when(F.col("spe_masterid") % 4 == 0, F.unhex(F.sha2(F.lit("old"), 256))).otherwise(F.col("row_hash")).alias("row_hash")
+    )
+    closed = old.withColumn("is_current", F.lit(False)).withColumn("valid_to", RUN.now)
+    golden = State(spark).put(master_relation=old.withColumn("valid_to", F.lit(None)).unionByName(closed))["master_relation"]
+    g = scd2.merge_relations(s.put(master_relation=checkpointed(golden)), RUN)["master_relation"]
+    return g.select("spe_masterid", "pe_masterid", "employment_type", "is_current", F.col("valid_to").isNull().alias("is_open"), F.lower(F.hex("row_hash")).alias("row_hash"))
+
+
+@query
+def merge_watermark(spark, sf_dir):
+    """Golden persons where the last merge was on the fourth day: earlier declarations come too late."""
+    s = after(spark, sf_dir, 8)
+    seen = spark.createDataFrame([("merge_spe", datetime(2024, 1, 4))], "label string, last_success_ts timestamp_ntz")
+    g = scd2.merge_persons(s.put(merge_log=seen), RUN)
+    last = g["merge_log"].select(F.date_format(F.max("last_success_ts"), "yyyy-MM-dd").alias("marked"))
+    return g["master_spe"].select("spe_masterid", "spe_nom", "is_current").crossJoin(F.broadcast(last))
+
+
+@query
+def second_run(spark, sf_dir):
+    """What a second run stages: declarations that the first one left without a current mapping."""
+    s = after(spark, sf_dir, 8)
+    s = staging.stage_new_declarations(s.put(mapping=checkpointed(s["mapping"])), NEXT)
+    return s.of_run("stg_new_decl_spe", NEXT.run_id).select(_id())
+
+
+@query
+def repeated_step(spark, sf_dir):
+    """Rows staged by run: a run that stages again replaces its rows, another one adds its own."""
+    s = staging.stage_new_declarations(after(spark, sf_dir, 1), RUN)
+    s = staging.stage_new_declarations(s, NEXT)
+    return s["stg_new_decl_spe"].groupBy("run_id").agg(F.count("*").alias("persons"))
+
+
+@query
+def step_metrics(spark, sf_dir):
+    """Rows that the journal counts after each of the first six steps."""
+    journal = RunLog(RUN.run_id, "demo")
+    run_steps(demo.state(spark, sf_dir), RUN, journal, STEPS[:6])
+    return spark.createDataFrame([(m[1], m[3]) for m in journal.metrics], "step string, row_count long")
+
+
+@query
+def run_journal(spark, sf_dir):
+    """A run that fails and one that succeeds, as the control tables have them; without clocks and names of machines."""
+    rows = []
+    for fails in (True, False):
+        journal = RunLog(f"run{int(fails)}", "demo")
+
+        def step(state, params, fails=fails):
+            if fails:
+                raise ValueError("a step broke")
+            return state
+
+        try:
+            run_steps(State(spark), RUN, journal, [("01_only", step, [])])
+            journal.succeeded()
+        except ValueError:
+            rows += [(journal.run_id, "error", e[1], e[3], False) for e in journal.errors]
+        row = journal.row("user")
+        rows.append((row[0], "run", row[4], row[5], row[2] <= row[3]))
+    return spark.createDataFrame(rows, "run_id string, kind string, what string, message string, in_order boolean")
+
+
+@query
+def top_components(spark, sf_dir):
+    """Report: the first ten rows of the run's components."""
+    c = after(spark, sf_dir, 6).of_run("spe_components", RUN.run_id)
+    return c.orderBy("component_id", "node_id").limit(10).select("component_id", "node_id")
+
+
+@query
+def candidate_report(spark, sf_dir):
+    """Report: candidates within the run, in order."""
+    c = _intrarun(spark, sf_dir)[0].where(F.col("run_id") == RUN.run_id)
+    return c.orderBy("node_id", "candidate_spe_masterid").select("node_id", F.col("candidate_spe_masterid").alias("candidate"), _r("score_total"))
+
+
+@query
+def status_report(spark, sf_dir):
+    """Report: final mappings of some declarations by an IN list, as text with nulls as nothing."""
+    m = after(spark, sf_dir, 8)["mapping"].where(F.col("spe_match_status").isin("Created", "Matched"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return m.orderBy("id_ligne_declaration").select(_id(), F.concat(text("spe_match_status"), F.lit(":"), text("spe_masterid"), F.lit(":"), text("pe_masterid")).alias("line"))
+
+
+@query
+def stewardship_formats(spark, sf_dir):
+    """Formats that approvals add, from the nodes of the run."""
+    s = after(spark, sf_dir, 5)
+    new = stewardship.apply_decisions(s, RUN)["spe_enriched"].where(F.col("created_at") == RUN.now)
+    return new.select("spe_masterid", F.col(A[0]).alias("nom"), F.col(A[1]).alias("prenom"), F.col(A[2]).alias("dob"), F.col(A[3]).alias("commune"))
+
+
+@query
+def stewardship_of_run(spark, sf_dir):
+    """Decisions of one run only: every second one names it."""
+    s = demo.state(spark, sf_dir)
+    d = s["spe_stewardship_decision"]
+    s = s.put(spe_stewardship_decision=d.withColumn("run_id", F.when(F.col("decision_id") % 4 == 1, F.lit(RUN.run_id))))
+    m = stewardship.apply_decisions(s, RUN, RUN.run_id)["mapping"]
+    return m.select(_id(), "spe_masterid", "spe_match_status")
+
+
+@query
+def rounds_counted(spark, sf_dir):
+    """Components by rounds of label propagation, as a bound on rounds needs them."""
+    s = after(spark, sf_dir, 5)
+    s = s.put(**{t: checkpointed(s[t]) for t in ("spe_nodes", "spe_edges")})
+    found, _ = graph.propagate_labels(s["spe_nodes"], s["spe_edges"], RUN.max_iter)
+    return found.select("node_id", "component_id")

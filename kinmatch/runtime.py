@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder of ``spark.checkpoint.dir`` (a temporary one only where that is unset)."""
+    """``df`` written once to the shared folder of ``spark.checkpoint.dir`` (where that is unset a temporary one if the master is local, else an error)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinmatch-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinmatch-"))
     return df.checkpoint(eager=True)
 
 

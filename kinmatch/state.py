@@ -21,7 +21,9 @@ class Params:
     run_id: str
     run_ts: datetime
     threshold: float = 0.8
+    #: Bound of the rounds of label propagation, for runs that ask for it (``count_rounds``); otherwise stars settle in few.
     max_iter: int = 1000
+    count_rounds: bool = False
     status_created: str = CREATED
     #: Score of a candidate that no edge of its own leads to, with one master in the component and with several.
     no_edge_one: float = 1.0

@@ -1,5 +1,6 @@
 """Cases beyond the smoke rows: each step on rows made for it, checked by hand-derived results."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -104,6 +105,22 @@ def test_path_graph_takes_as_many_rounds_as_nodes(spark):
     assert labels(spark, [4, 9], [], 1) == ({4: 4, 9: 9}, 1)
 
 
+def test_stars_settle_long_chains_in_few_rounds(spark):
+    r = random.Random(2)
+    n = 100_000
+    chain = spark.range(1, n).select(F.col("id").alias("node_a"), (F.col("id") + 1).alias("node_b"))
+    found, rounds = graph.least_labels(spark.range(1, n + 2).select(F.col("id").alias("node_id")), chain)
+    assert rounds < 40
+    assert sorted(map(tuple, found.groupBy("component_id").count().collect())) == [(1, n), (n + 1, 1)]
+    for _ in range(3):
+        edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)]
+        got, _ = labels(spark, range(60), edges, 1000)
+        stars, _ = graph.least_labels(spark.createDataFrame([(i,) for i in range(60)], "node_id long"), spark.createDataFrame(edges, "node_a long, node_b long"))
+        assert {x.node_id: x.component_id for x in stars.collect()} == got
+    none, _ = graph.least_labels(spark.createDataFrame([(4,), (9,)], "node_id long"), spark.createDataFrame([], "node_a long, node_b long"))
+    assert sorted(map(tuple, none.collect())) == [(4, 4), (9, 9)]
+
+
 def candidates(spark, masters, edges):
     m = spark.createDataFrame([(n, 1, x) for n, x in masters], "node_id long, component_id long, spe_masterid long")
     e = spark.createDataFrame(edges, "node_a long, node_b long, score_total double")
