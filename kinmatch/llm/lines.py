@@ -22,7 +22,7 @@ ENDS = {
 #: Kinds of units that are looked at, each with the code points, once normalised, from which on neighbouring ones are a passage.
 PASSAGES = (("sentence", 150),)
 #: Documents whose digests are sorted together before they are sent.
-_TOGETHER = 2_000
+_TOGETHER = 500
 
 
 def units_of(text: str, ends: re.Pattern) -> list[str]:

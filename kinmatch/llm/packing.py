@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import batch, checkpointed
 
 #: Chunks whose ids a worker remembers; then it starts afresh. Ids don't depend on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Pieces that one task packs together, and bins of each group that are opened again.
 TOGETHER, LOOSE = 100_000, 64
 _coders: dict[str, _Ids] = {}
