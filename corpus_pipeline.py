@@ -31,7 +31,7 @@ def _identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def _drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, of smallest doc_id, of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """Keeps one document, of smallest doc_id, of each group of near-duplicates: SimHash links and shared shingles, at a similarity of five-word shingles of 0.8 or more."""
     return near.one_of_each_group(docs.select(*COLUMNS))
 
 

@@ -1,4 +1,8 @@
-"""Near-duplicate groups by the exact Jaccard similarity of word shingles.
+"""Near-duplicate groups by SimHash, and by the exact Jaccard similarity of word shingles.
+
+SimHash links come first: whole texts' fingerprints, at three or fewer
+differing bits. They are verified by the
+similarity; what they leave apart meets by shared shingles.
 
 Shingles are put in one order for all texts, frequent ones (as a sample of the
 texts has them) last. Two sets of similarity t share k shingles (or all that t
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import LAST_ID, batch, checkpointed, shuffle_partitions, stored
 from .components import connected_components
-from .simhash import shingle_digests
+from .simhash import fingerprint, near_links, shingle_digests
 
 #: One text in so many gives the order of shingles, at any size, so lists don't lengthen with the input; so many shingles it places last.
 SAMPLE, FREQUENT = 12, 1 << 17
@@ -84,27 +88,40 @@ def _differ(a: bytes, b: bytes) -> int:
 
 
 def with_prefixes(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """did, tid, key (hash of the set of shingles), n (its size), prefix (its first shingles) and marks of every row of ``docs`` (did, tid, text)."""
+    """did, tid, fp (SimHash), key (hash of the set of shingles), n (its size), prefix (its first shingles) and marks of every row of ``docs`` (did, tid, text)."""
     frequent, counts = _frequent(docs.select(F.col("did").alias("doc_id"), "text"), words)
-    schema = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64())), ("marks", pa.binary())])
+    schema = pa.schema([("did", pa.int64()), ("tid", pa.int64()), ("fp", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64())), ("marks", pa.binary())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sizes, prefixes, marks = [], [], [], []
-            for t in b.column(2):
-                s = shingles(t.as_py(), words)
+            texts = b.column(2).to_pylist()
+            fps = np.fromiter(map(fingerprint, texts), np.uint64, b.num_rows).view(np.int64)
+            for t in texts:
+                s = shingles(t, words)
                 keys.append(xxhash.xxh3_64_intdigest(s.tobytes()))
                 sizes.append(len(s))
                 marks.append(marks_of(s))
                 prefixes.append(_ordered(s, frequent, counts)[: len(s) - math.ceil(similarity * len(s) - _ROUNDING) + SHARED])
-            yield batch(schema, did=b.column(0), tid=b.column(1), key=np.array(keys, np.uint64).view(np.int64), n=sizes, prefix=prefixes, marks=marks)
+            yield batch(schema, did=b.column(0), tid=b.column(1), fp=fps, key=np.array(keys, np.uint64).view(np.int64), n=sizes, prefix=prefixes, marks=marks)
 
-    return docs.select("did", "tid", "text").mapInArrow(apply, "did long, tid long, key long, n int, prefix array<long>, marks binary")
+    return docs.select("did", "tid", "text").mapInArrow(apply, "did long, tid long, fp long, key long, n int, prefix array<long>, marks binary")
 
 
 def distinct_sets(prints: DataFrame) -> DataFrame:
-    """One row a key: n, prefix, marks and the first (did, tid) that has it; copies are reduced before the shuffle."""
-    return prints.groupBy("key").agg(F.min(F.struct("did", "tid")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks"))
+    """One row a key: n, prefix, marks, the fingerprints and the first (did, tid) that have it; copies are reduced before the shuffle."""
+    return prints.groupBy("key").agg(F.min(F.struct("did", "tid")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks"), F.collect_set("fp").alias("fps"))
+
+
+def simhash_links(sets: DataFrame, bits: int = 3) -> DataFrame:
+    """SimHash's links (a, b) between keys: of equal fingerprints, and of those that ``near_links`` connects."""
+    prints = checkpointed(sets.select("key", F.explode("fps").alias("fp")))
+    firsts = checkpointed(prints.groupBy("fp").agg(F.min("key").alias("first")))
+    equal = prints.join(firsts, "fp").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    side = lambda name: firsts.select(F.col("fp").alias(name), F.col("first").alias(f"of_{name}"))
+    near = near_links(firsts.select("fp"), bits).join(side("a"), "a").join(side("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    found = equal.unionByName(near).where("a <> b")
+    return checkpointed(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def _lists(prefixes: DataFrame) -> DataFrame:
@@ -182,11 +199,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, similarity: f
     return checkpointed(joined.mapInArrow(apply, "a long, b long"))
 
 
-def _pairs(joined: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of postings (key, n, at) and (other, m, place) that can have the similarity if this is the first shingle that they share."""
+def _pairs(joined: DataFrame, similarity: float, *, whole: bool = False) -> DataFrame:
+    """Pairs of postings (key, n, at) and (other, m, place) that can have the similarity if this is the first shingle that they share.
+
+    Where the ``whole`` lists are joined, a pair also shares as many as its prefixes must.
+    """
     least = similarity / (1 + similarity) * (F.col("n") + F.col("m")) - _ROUNDING
-    fit = joined.where(F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place")) >= least)
-    return checkpointed(fit.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
+    fit = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place")) >= least
+    pair = F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")
+    if not whole:
+        return checkpointed(joined.where(fit).select(*pair).distinct())
+    must = F.least(F.lit(SHARED), F.ceil(F.least("n", "m") * similarity - _ROUNDING))
+    counted = joined.select(*pair, fit.alias("fit"), must.alias("must")).groupBy("a", "b").agg(F.max("fit").alias("fit"), F.count("*").alias("c"), F.max("must").alias("must"))
+    return checkpointed(counted.where("fit AND c >= must").select("a", "b"))
 
 
 def _crowded(posts: DataFrame, dense: float) -> DataFrame:
@@ -203,8 +228,8 @@ def _in_groups(posts: DataFrame, groups: DataFrame) -> DataFrame:
     return posts.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def similar_groups(prefixes: DataFrame, docs: DataFrame, similarity: float = 0.8, words: int = 5, dense: float = DENSE) -> DataFrame:
-    """(node, component) of the keys that link with others at ``similarity`` or more.
+def similar_groups(prefixes: DataFrame, docs: DataFrame, similarity: float = 0.8, words: int = 5, dense: float = DENSE, links: DataFrame | None = None) -> DataFrame:
+    """(node, component) of the keys that link with others at ``similarity`` or more. Given ``links`` (a, b) are verified first.
 
     ``prefixes`` is what ``distinct_sets`` returns, ``docs`` (did, tid, text) has
     the texts.
@@ -217,17 +242,21 @@ def similar_groups(prefixes: DataFrame, docs: DataFrame, similarity: float = 0.8
     # rows of one document meet where the join has dealt them
     texts = stored(docs.join(nodes.select("did", "tid", "key"), ["did", "tid"]).groupBy("did", "tid").agg(F.first("key").alias("key"), F.first("text").alias("text")).select("key", "text"))
     _free(docs)
-    links, groups, before, k = None, None, None, 0
+    links = None if links is None else _verified(links, nodes, texts, similarity, words)
+    groups, before, k = None if links is None else checkpointed(connected_components(links)), None, 0
     # rounds of stars are for crowded lists alone; all others meet pairwise at once
-    rest = posts.withColumn("component", F.col("key"))
+    rest = posts.withColumn("component", F.col("key")) if groups is None else checkpointed(_in_groups(posts, groups))
     rest = checkpointed(rest.join(_crowded(rest, dense), "gram"))
     while left := _pairs_left(rest):
-        if before is not None and left >= 0.8 * before:
+        if k > 1 and left >= 0.8 * before:
             break
-        # the first member of each list by an order that differs from round to round, and four ones a round
-        place = F.struct(F.xxhash64("key", F.lit(k), F.pmod("gram", F.lit(4))), F.col("key").alias("other"), F.col("n").alias("m"), F.col("at").alias("place"))
-        stars = rest.groupBy("gram").agg(F.min(place).alias("head")).select("gram", "head.other", "head.m", "head.place")
-        found = _verified(_pairs(rest.join(stars, "gram").where("key <> other"), similarity), nodes, texts, similarity, words)
+        # first the member of each list that is in most lists, as the source of near copies is in all of theirs;
+        # then the first by an order that differs from round to round, and four ones a round
+        order = -F.col("lists") if k == 0 else F.lit(0)
+        met = rest.join(rest.groupBy("key").agg(F.count("*").alias("lists")), "key") if k == 0 else rest
+        place = F.struct(order.alias("order"), F.xxhash64("key", F.lit(k), F.pmod("gram", F.lit(4 if k else 1))), F.col("key").alias("other"), F.col("n").alias("m"), F.col("at").alias("place"), F.col("component").alias("its"))
+        stars = met.groupBy("gram").agg(F.min(place).alias("head")).select("gram", "head.other", "head.m", "head.place", "head.its")
+        found = _verified(_pairs(rest.join(stars, "gram").where("component <> its"), similarity), nodes, texts, similarity, words)
         links = found if links is None else checkpointed(links.unionByName(found))
         groups = connected_components(links)
         rest = checkpointed(_in_groups(rest.drop("component", "pairs"), groups))
@@ -238,7 +267,7 @@ def similar_groups(prefixes: DataFrame, docs: DataFrame, similarity: float = 0.8
     several = posts.groupBy("gram").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("gram")
     posts = checkpointed(posts.join(several, "gram"))
     other = posts.select("gram", F.col("key").alias("other"), F.col("n").alias("m"), F.col("at").alias("place"), F.col("component").alias("its"))
-    found = _verified(_pairs(posts.join(other, "gram").where("component < its"), similarity), nodes, texts, similarity, words)
+    found = _verified(_pairs(posts.join(other, "gram").where("component < its"), similarity, whole=True), nodes, texts, similarity, words)
     return connected_components(found if links is None else links.unionByName(found))
 
 
@@ -256,7 +285,8 @@ def _free(df: DataFrame) -> None:
 def one_of_each_group(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """The rows of ``docs``, with all columns, of one document of each group of near-duplicates.
 
-    Texts link whose sets of ``words``-word shingles (A-Z lower-cased) have a
+    Fingerprints link first (``near_links``: three bits), whatever the
+    similarity then confirms; all others meet by their shingles. Texts link whose sets of ``words``-word shingles (A-Z lower-cased) have a
     Jaccard similarity of ``similarity`` or more; texts without words are equal.
     The one of smallest doc_id stays (null last; of texts with one doc_id, the
     one of smaller hash), as a single row.
@@ -266,7 +296,7 @@ def one_of_each_group(docs: DataFrame, similarity: float = 0.8, words: int = 5)
     named = docs.select(did.alias("did"), tid.alias("tid"), F.coalesce("text", F.lit("")).alias("text"))
     sets = stored(distinct_sets(with_prefixes(named, similarity, words)))
     _free(docs)
-    groups = similar_groups(sets.where("n > 0"), named, similarity, words).withColumnRenamed("node", "key")
+    groups = similar_groups(sets.where("n > 0"), named, similarity, words, links=simhash_links(sets)).withColumnRenamed("node", "key")
     heads = sets.select("key", "first").join(groups, "key", "left").groupBy(F.coalesce("component", "key").alias("component")).agg(F.min("first").alias("head"))
     heads = stored(heads.select(F.col("head.did").alias("did"), F.col("head.tid").alias("tid")))
     _free(docs)

@@ -58,3 +58,45 @@ def test_stars_and_pairs_agree(spark, rows, dense):
     groups, _ = brute([x for x in rows if x[0] in key])
     mine = {i: found.get(k, k) for i, k in key.items()}
     assert all((groups[a] == groups[b]) == (mine[a] == mine[b]) for a in key for b in key)
+
+
+def test_simhash_links_come_first(spark, monkeypatch):
+    """Copies at three bits or fewer are groups before any list of shingles is joined; lists join only what is apart."""
+    words = ["w%d" % i for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(words[::-1])]
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "did long, tid long, text string")
+    sets = near.distinct_sets(near.with_prefixes(docs))
+    links = [tuple(x) for x in near.simhash_links(sets).collect()]
+    key = {x.first.did: x.key for x in sets.collect()}
+    assert links == [tuple(sorted((key[0], key[1])))]
+    met, verified = [], near._verified
+
+    def spy(pairs, *rest):
+        met.append(sorted(map(tuple, pairs.collect())))
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near, "_verified", spy)
+    got = near.similar_groups(sets, docs, links=near.simhash_links(sets)).collect()
+    assert {x.node for x in got} == {key[0], key[1]} and met == [links, []]
+
+
+def test_source_of_near_copies_heads_their_lists(spark, monkeypatch):
+    """Many copies near one source, not near each other: a round of stars finds them without all their pairs."""
+    base = ["w%d" % i for i in range(200)]
+    texts = [" ".join(base)]
+    for i in range(60):
+        words = list(base)
+        for k in range(4):
+            words[(37 * i + 50 * k) % 200] = f"x{i}y{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "did long, tid long, text string")
+    sets = near.distinct_sets(near.with_prefixes(docs))
+    met, verified = [], near._verified
+
+    def spy(pairs, *rest):
+        met.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near, "_verified", spy)
+    found = near.similar_groups(sets, docs).collect()
+    assert len(found) == 61 and len({x.component for x in found}) == 1 and sum(met) < 61 * 60 / 2
