@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch
+from .common import batch, checkpointed, shuffle_partitions
 
 #: What stands for the blank before a word.
 BLANK = "▁"
@@ -61,17 +61,26 @@ class Vocabulary:
         Present probabilities count as ``prior`` pieces seen before, so none gets
         to zero. The words' order doesn't matter; without words nothing changes.
         """
-        before = {x: math.exp(log) for x, log in self.logs.items()}
-        now, floor, longest = dict(before), math.exp(self.unknown), self.longest
         words = {w: words[w] for w in sorted(words) if w}
-        if not words or not now:
+
+        def expected(now: dict[str, float]) -> dict[str, float]:
+            seen: dict[str, float] = {}
+            for word, n in words.items():
+                _expect(word, n, now, math.exp(self.unknown), self.longest, seen)
+            return seen
+
+        return self.maximised(expected, rounds, prior) if words else self
+
+    def maximised(self, expected: Callable[[dict[str, float]], dict[str, float]], rounds: int = 4, prior: float = 1_000.0) -> Vocabulary:
+        """The pieces after some rounds in which ``expected`` tells how often each comes under the present probabilities."""
+        if not self.logs:
             return self
+        before = {x: math.exp(log) for x, log in self.logs.items()}
+        now = dict(before)
         for _ in range(rounds):
-            seen = dict.fromkeys(now, 0.0)
-            for word, n in words.items():
-                _expect(word, n, now, floor, longest, seen)
+            seen = expected(now)
             total = prior + sum(seen.values())
-            now = {x: (seen[x] + prior * before[x]) / total for x in now}
+            now = {x: (seen.get(x, 0.0) + prior * before[x]) / total for x in now}
         logs = {x: math.log(p) for x, p in now.items()}
         return Vocabulary(logs, min(logs.values()) - 10.0)
 
@@ -91,13 +100,29 @@ def _expect(word: str, n: int, p: dict[str, float], floor: float, longest: int,
     ahead[0] = behind[size] = 1.0
     for start, stop, _, chance in edges:
         ahead[stop] += ahead[start] * chance
+    if ahead[size] < 1e-200:
+        _expect_by_logs(size, edges, n, seen)  # too unlikely for a double
+        return
     for start, stop, _, chance in reversed(edges):
         behind[start] += behind[stop] * chance
-    if ahead[size] <= 0.0:
-        return  # too unlikely for a double
     for start, stop, piece, chance in edges:
         if piece is not None:
-            seen[piece] += n * ahead[start] * chance * behind[stop] / ahead[size]
+            seen[piece] = seen.get(piece, 0.0) + n * ahead[start] * chance * behind[stop] / ahead[size]
+
+
+def _expect_by_logs(size: int, edges: list[tuple], n: int, seen: dict[str, float]) -> None:
+    """The same sums as logarithms, for words of any length."""
+    add = lambda x, y: max(x, y) + math.log1p(math.exp(-abs(x - y))) if min(x, y) > -math.inf else max(x, y)
+    ahead, behind = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
+    ahead[0] = behind[size] = 0.0
+    steps = [(start, stop, piece, math.log(chance)) for start, stop, piece, chance in edges if chance > 0]
+    for start, stop, _, log in steps:
+        ahead[stop] = add(ahead[stop], ahead[start] + log)
+    for start, stop, _, log in reversed(steps):
+        behind[start] = add(behind[start], behind[stop] + log)
+    for start, stop, piece, log in steps:
+        if piece is not None:
+            seen[piece] = seen.get(piece, 0.0) + n * math.exp(ahead[start] + log + behind[stop] - ahead[size])
 
 
 class Trie:
@@ -171,26 +196,47 @@ def pre_tokens(text: str) -> list[str]:
     return [BLANK + w for w in text.split()]
 
 
-def fit(docs: DataFrame, vocabulary: Vocabulary, documents: int = 1_000, words: int = 20_000) -> Vocabulary:
-    """The vocabulary fitted to pre-tokens of up to 64 characters of a sample of the documents.
+#: Expected numbers are summed as multiples of this, so that no order of partitions changes them.
+_UNIT = 2.0**-16
+
+
+def fit(docs: DataFrame, vocabulary: Vocabulary) -> Vocabulary:
+    """The vocabulary fitted to all pre-tokens of all documents.
 
-    ``documents`` bounds the sample: those of which the hash of doc_id is small
-    enough to expect that many are read, whole. The driver gets the ``words``
-    most frequent pre-tokens (of equals the first by code point) with counts.
+    Distinct pre-tokens with their counts stay on the executors; each round
+    brings the driver one number a piece.
     """
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
         for b in batches:
-            found = Counter(w for t in b.column(0).to_pylist() for w in pre_tokens(t or "") if len(w) <= 64)
-            yield batch(schema, word=list(found), n=list(found.values()))
-
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    share = documents / max(1, named.count())
-    if share < 1:
-        named = named.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = named.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return vocabulary.fitted(dict(map(tuple, found.orderBy(F.desc("n"), "word").limit(words).collect())))
+            for t in b.column(0).to_pylist():
+                found.update(pre_tokens(t or ""))
+                if len(found) > WORDS:
+                    yield batch(schema, word=list(found), n=list(found.values()))
+                    found.clear()
+        yield batch(schema, word=list(found), n=list(found.values()))
+
+    words = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = checkpointed(words.repartition(shuffle_partitions(docs.sparkSession), "word").sortWithinPartitions("word"))
+    if words.isEmpty():
+        return vocabulary
+    floor, longest = math.exp(vocabulary.unknown), vocabulary.longest
+    pieces = pa.schema([("piece", pa.string()), ("units", pa.int64())])
+
+    def expected(now: dict[str, float]) -> dict[str, float]:
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: dict[str, float] = {}
+            for b in batches:
+                for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    _expect(word, n, now, floor, longest, seen)
+            yield batch(pieces, piece=list(seen), units=[round(x / _UNIT) for x in seen.values()])
+
+        found = words.mapInArrow(apply, "piece string, units long").groupBy("piece").agg(F.sum("units").alias("units"))
+        return {x.piece: x.units * _UNIT for x in found.orderBy("piece").collect()}
+
+    return vocabulary.maximised(expected)
 
 
 def token_counts(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:

@@ -118,3 +118,19 @@ def test_fitted_counts_of_documents(spark):
     assert sum(got.values()) < sum(T.Trie(T.Vocabulary.of_file()).count([T.pre_tokens(x.text or "") for x in rows])) * 1.05
     empty = docs.where("doc_id < 0")
     assert T.fit(empty, V) is V and T.token_counts(empty).collect() == []
+
+
+def test_fit_reads_every_document_and_word(spark):
+    """As many documents and distinct words as a sample would not take whole; long words too."""
+    rows = [(i, f"ab{i} abab c{i}" + (" " + "ab" * 3_000 if i == 5 else "")) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = {}
+    for _, t in rows:
+        for w in T.pre_tokens(t):
+            words[w] = words.get(w, 0) + 1
+    assert len(words) > 20_000
+    got, want = T.fit(docs, V), V.fitted(words)
+    assert all(math.isclose(got.logs[x], log, rel_tol=1e-4) for x, log in want.logs.items())
+    without = V.fitted({w: n for w, n in words.items() if len(w) <= 64})
+    assert not all(math.isclose(without.logs[x], log, rel_tol=1e-4) for x, log in want.logs.items())
+    assert T.fit(docs.repartition(5), V).logs == T.fit(docs, V).logs
