@@ -10,6 +10,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +126,108 @@ def _expect_by_logs(size: int, edges: list[tuple], n: int, seen: dict[str, float
             seen[piece] = seen.get(piece, 0.0) + n * math.exp(ahead[start] + log + behind[stop] - ahead[size])
 
 
+#: Words whose sums are taken together, and the length from which on a word is summed up alone.
+_TOGETHER, _LONG = 2_000, 64
+_PAD = 0xFFFFFFFF
+_BASE, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
+
+
+def _code_points(words: list[str], width: int) -> np.ndarray:
+    """One column a word, filled up."""
+    rows = b"".join(w.encode("utf-32-le", "surrogatepass").ljust(4 * width, b"\xff") for w in words)
+    return np.ascontiguousarray(np.frombuffer(rows, np.uint32).reshape(len(words), width).T)
+
+
+class Lattice:
+    """What ``_expect`` adds up, for many words at a time: windows of code points are looked up by hash among the pieces of their length, then compared."""
+
+    def __init__(self, pieces: list[str], floor: float):
+        self.pieces, self.floor = pieces, floor
+        self.longest = max(map(len, pieces), default=1)
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
+        for size in sorted({len(x) for x in pieces if x}):
+            at = np.array([k for k, x in enumerate(pieces) if len(x) == size])
+            codes = _code_points([pieces[k] for k in at], size)
+            h = np.zeros(len(at), np.uint64)
+            for c in codes:
+                h = h * _BASE + c + np.uint64(1)
+            order = np.argsort(h, kind="stable")
+            marks = np.zeros(1 << 20, bool)
+            marks[h * _BASE >> _SHIFT] = True
+            self.by_length[size] = h[order], at[order], np.ascontiguousarray(codes[:, order]), marks
+
+    def _windows(self, codes: np.ndarray, p: np.ndarray) -> dict[int, tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]]:
+        """By size of window: its probability, and where (start, word) it is which piece."""
+        h = np.zeros(codes.shape, np.uint64)
+        out = {}
+        for size in range(1, min(self.longest, len(codes)) + 1):
+            h = h[: len(codes) - size + 1] * _BASE + codes[size - 1 :] + np.uint64(1)
+            chance = np.zeros(h.shape)
+            if size == 1:
+                powers = np.array([self.floor**k for k in range(5)])
+                chance = np.where(codes == _PAD, 0.0, powers[1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)])
+            elif size not in self.by_length:
+                continue
+            start, word, ids = (np.zeros(0, np.int64),) * 3
+            if size in self.by_length:
+                hashes, at, known, seen = self.by_length[size]
+                start, word = np.nonzero(seen[h * _BASE >> _SHIFT])  # most windows are no piece
+                mine = h[start, word]
+                place = np.minimum(np.searchsorted(hashes, mine), len(hashes) - 1)
+                same = hashes[place] == mine
+                for k in range(size):
+                    same &= codes[start + k, word] == known[k, place]
+                start, word, ids = start[same], word[same], at[place[same]]
+                chance[start, word] = p[ids]
+            if size == 1 or len(ids):
+                out[size] = chance, (start, word), ids
+        return out
+
+    def expect(self, words: list[str], n: np.ndarray, p: np.ndarray, seen: np.ndarray) -> None:
+        """Adds to ``seen`` how often each piece is expected in the words, each ``n`` times, under the probabilities ``p``."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        alone = order[sizes[order] > _LONG].tolist()
+        order = order[: len(order) - len(alone)]
+        for start in range(0, len(order), _TOGETHER):
+            alone += self._expect_together(order[start : start + _TOGETHER], words, sizes, n, p, seen)
+        if not alone:
+            return
+        place = {x: k for k, x in enumerate(self.pieces)}
+        now, found = dict(zip(self.pieces, p.tolist(), strict=True)), {}
+        for k in alone:
+            _expect(words[k], int(n[k]), now, self.floor, self.longest, found)
+        for piece, x in found.items():
+            seen[place[piece]] += x
+
+    def _expect_together(self, rows: np.ndarray, words: list[str], sizes: np.ndarray, n: np.ndarray, p: np.ndarray, seen: np.ndarray) -> list[int]:
+        """Returns the words that are too unlikely for a double."""
+        sizes, width, each = sizes[rows], int(sizes[rows[-1]]), np.arange(len(rows))
+        windows = self._windows(_code_points([words[k] for k in rows], width), p)
+        ahead, behind = np.zeros((width + 1, len(rows))), np.zeros((width + 1, len(rows)))
+        ahead[0] = behind[sizes, each] = 1.0
+        for start in range(width):
+            for size, (chance, _, _) in windows.items():
+                if start + size <= width:
+                    ahead[start + size] += ahead[start] * chance[start]
+        whole = ahead[sizes, each]
+        likely = whole >= 1e-200
+        scale = np.where(likely, n[rows] / np.where(likely, whole, 1.0), 0.0)
+        for start in reversed(range(width)):
+            for size, (chance, _, _) in windows.items():
+                if start + size <= width:
+                    behind[start] += behind[start + size] * chance[start]
+        weights = [ahead[at] * chance[at] * behind[at[0] + size, at[1]] * scale[at[1]] for size, (chance, at, _) in windows.items()]
+        seen += np.bincount(np.concatenate([ids for _, _, ids in windows.values()]), np.concatenate(weights), len(seen))
+        return rows[~likely].tolist()
+
+
+@lru_cache(maxsize=1)
+def _lattice(pieces: tuple[str, ...], floor: float) -> Lattice:
+    """One a worker: its tables are large to send and quick to make."""
+    return Lattice(list(pieces), floor)
+
+
 class Trie:
     """Words by prefix; each node has the best forward score of its prefix and the tokens of the split that has it.
 
@@ -136,12 +239,15 @@ class Trie:
 
     def __init__(self, vocabulary: Vocabulary):
         self.logs, self.unknown, self.longest = vocabulary.logs, vocabulary.unknown, vocabulary.longest
+        # no piece ends in a string that isn't one of these
+        self.ends = {x[k:] for x in self.logs for k in range(len(x))}
         self.terminals: dict[str, int] = {}
         self.computed = 0  # forward scores so far
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[tuple[int, str], int] = {}
+        self.last, self.nodes = "", [0]  # the word before and its nodes
         self.state: list[tuple[float, int]] = [(0.0, 0)]  # (score, -tokens): the greater pair is the better split
 
     def _step(self, word: str, at: int, path: list[tuple[float, int]]) -> tuple[float, int]:
@@ -151,10 +257,14 @@ class Trie:
         if char not in self.logs:
             n = len(char.encode("utf-8", "surrogatepass"))
             best = (path[at][0] + n * self.unknown, path[at][1] - n)
-        end, get = at + 1, self.logs.get
-        for start in range(max(0, end - self.longest), end):
-            log = get(word[start:end])
-            if log is not None:
+        end, get, ends = at + 1, self.logs.get, self.ends
+        for start in range(at, max(-1, at - self.longest), -1):
+            piece = word[start:end]
+            log = get(piece)
+            if log is None:
+                if piece not in ends:
+                    break
+            else:
                 score, tokens = path[start]
                 if (found := (score + log, tokens - 1)) > best:
                     best = found
@@ -163,20 +273,27 @@ class Trie:
 
     def insert(self, word: str) -> int:
         """Adds a word and stores its number of tokens at its end."""
-        node, path, child, state = 0, [self.state[0]], self.child, self.state
-        shared = len(word) <= 64  # a longer one shares little; it doesn't stay
-        for at, char in enumerate(word):
-            to = child.get((node, char)) if shared else None
+        child, state = self.child, self.state
+        if len(word) > 64:  # it shares little; it doesn't stay
+            path = [state[0]]
+            for at in range(len(word)):
+                path.append(self._step(word, at, path))
+            return -path[-1][1]
+        # words come in order: start where this one leaves the one before
+        last, at, most = self.last, 0, min(len(word), len(self.last))
+        while at < most and word[at] == last[at]:
+            at += 1
+        nodes = self.nodes[: at + 1]
+        path = [state[k] for k in nodes]
+        for at in range(at, len(word)):
+            key = nodes[at], word[at]
+            to = child.get(key)
             if to is None:
-                now = self._step(word, at, path)
-                if shared:
-                    to = len(state)
-                    child[node, char] = to
-                    state.append(now)
-            else:
-                now = state[to]
-            node = to
-            path.append(now)
+                to = child[key] = len(state)
+                state.append(self._step(word, at, path))
+            nodes.append(to)
+            path.append(state[to])
+        self.last, self.nodes = word, nodes
         return -path[-1][1]
 
     def count(self, words: list[list[str]]) -> list[int]:
@@ -222,19 +339,22 @@ def fit(docs: DataFrame, vocabulary: Vocabulary) -> Vocabulary:
     words = checkpointed(words.repartition(shuffle_partitions(docs.sparkSession), "word").sortWithinPartitions("word"))
     if words.isEmpty():
         return vocabulary
-    floor, longest = math.exp(vocabulary.unknown), vocabulary.longest
-    pieces = pa.schema([("piece", pa.string()), ("units", pa.int64())])
+    names, floor = tuple(vocabulary.logs), math.exp(vocabulary.unknown)
+    pieces = pa.schema([("piece", pa.int32()), ("units", pa.int64())])
 
     def expected(now: dict[str, float]) -> dict[str, float]:
+        p = np.array([now[x] for x in names])
+
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: dict[str, float] = {}
+            lattice, seen = _lattice(names, floor), np.zeros(len(p))
             for b in batches:
-                for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    _expect(word, n, now, floor, longest, seen)
-            yield batch(pieces, piece=list(seen), units=[round(x / _UNIT) for x in seen.values()])
+                lattice.expect(b.column(0).to_pylist(), b.column(1).to_numpy(), p, seen)
+            units = np.rint(seen / _UNIT).astype(np.int64)
+            held = np.flatnonzero(units)
+            yield batch(pieces, piece=held.astype(np.int32), units=units[held])
 
-        found = words.mapInArrow(apply, "piece string, units long").groupBy("piece").agg(F.sum("units").alias("units"))
-        return {x.piece: x.units * _UNIT for x in found.orderBy("piece").collect()}
+        found = words.mapInArrow(apply, "piece int, units long").groupBy("piece").agg(F.sum("units").alias("units"))
+        return {names[x.piece]: x.units * _UNIT for x in found.orderBy("piece").collect()}
 
     return vocabulary.maximised(expected)
 

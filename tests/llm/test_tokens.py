@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from kinmatch.llm import tokens as T
 
 SCHEMA = "doc_id long, text string, n_tokens int, w string"
@@ -134,3 +136,16 @@ def test_fit_reads_every_document_and_word(spark):
     without = V.fitted({w: n for w, n in words.items() if len(w) <= 64})
     assert not all(math.isclose(without.logs[x], log, rel_tol=1e-4) for x, log in want.logs.items())
     assert T.fit(docs.repartition(5), V).logs == T.fit(docs, V).logs
+
+
+def test_sums_of_many_words_at_a_time():
+    """The same sums as word by word: unknown characters, an unlikely word, and a long one."""
+    words = {"▁the": 5, "▁": 2, "é\U0001f600x": 1, "▁" + "then" * 30: 1, "\U0001f600" * 40: 2, **{f"▁the{k}n{'e' * (k % 7)}": k + 1 for k in range(2500)}}
+    pieces = ["▁", "t", "h", "e", "n", "th", "he", "▁the", "en", "ee", "1", "2", "then"]
+    p = {x: (k + 1) / 200 for k, x in enumerate(pieces)}
+    want: dict[str, float] = {}
+    for w, n in words.items():
+        T._expect(w, n, p, 1e-9, 4, want)
+    seen = T.np.zeros(len(pieces))
+    T.Lattice(pieces, 1e-9).expect(list(words), T.np.array(list(words.values())), T.np.array(list(p.values())), seen)
+    assert seen.tolist() == pytest.approx([want[x] for x in pieces], rel=1e-9)
