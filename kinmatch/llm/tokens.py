@@ -21,7 +21,7 @@ from .common import batch, checkpointed, shuffle_partitions
 
 #: What stands for the blank before a word.
 BLANK = "▁"
-#: Trie nodes, and words with their counts, that a worker holds; then it starts afresh. Counts don't depend on it.
+#: Code points of words whose trie is made together, and words with their counts that a worker holds; then it starts afresh. Counts don't depend on it.
 NODES, WORDS = 400_000, 400_000
 
 
@@ -128,14 +128,19 @@ def _expect_by_logs(size: int, edges: list[tuple], n: int, seen: dict[str, float
 
 #: Words whose sums are taken together, and the length from which on a word is summed up alone.
 _TOGETHER, _LONG = 2_000, 64
+#: Words at most whose trie is made together.
+_SOME = 20_000
 _PAD = 0xFFFFFFFF
-_BASE, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
+_U = np.uint64
+_BASE, _SHIFT = _U(0x9E3779B97F4A7C15), _U(44)
 
 
 def _code_points(words: list[str], width: int) -> np.ndarray:
     """One column a word, filled up."""
-    rows = b"".join(w.encode("utf-32-le", "surrogatepass").ljust(4 * width, b"\xff") for w in words)
-    return np.ascontiguousarray(np.frombuffer(rows, np.uint32).reshape(len(words), width).T)
+    rows = np.full((len(words), width), _PAD, np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    rows[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.ascontiguousarray(rows.T)
 
 
 class Lattice:
@@ -228,30 +233,82 @@ def _lattice(pieces: tuple[str, ...], floor: float) -> Lattice:
     return Lattice(list(pieces), floor)
 
 
+class Pieces:
+    """Windows of code points looked up among pieces and among the strings that pieces end in: by hash, then compared."""
+
+    def __init__(self, pieces: list[str]):
+        self.longest = max(map(len, pieces), default=1)
+        self.codes = _code_points(pieces, self.longest)
+        self.hashes, self.tables = self._hashes(pieces), []
+        left = np.arange(len(pieces))
+        while len(left):  # a piece whose place is taken has one in the next table
+            table = np.full(1 << 20, -1, np.int32)
+            table[self._place(self.hashes[left], len(self.tables))[::-1]] = left[::-1]
+            self.tables.append(table)
+            left = left[table[self._place(self.hashes[left], len(self.tables) - 1)] != left]
+        self.ends = np.zeros(1 << 22, bool)
+        self.ends[self._hashes(sorted({x[k:] for x in pieces for k in range(len(x))})) * _BASE >> _U(42)] = True
+
+    def _hashes(self, strings: list[str]) -> np.ndarray:
+        out = np.zeros(len(strings), _U)
+        for size, c in enumerate(_code_points(strings, self.longest)):
+            out = np.where(c == _PAD, out, out * _BASE + c + _U(1)) if size else c + _U(1)
+        return out
+
+    @staticmethod
+    def _place(hashes: np.ndarray, table: int) -> np.ndarray:
+        return hashes * (_BASE + _U(2 * table)) * _BASE >> _SHIFT
+
+    def ending(self, codes: np.ndarray, at: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, which, piece) for each size: which of the prefixes ``codes[: at + 1, word]`` end in which piece."""
+        which, h, power = np.arange(len(at)), np.zeros(len(at), _U), _U(1)
+        for size in range(1, min(self.longest, len(codes)) + 1):
+            if size > 1:
+                inside = at[which] >= size - 1
+                which, h = which[inside], h[inside]
+            h = h + (codes[at[which] - (size - 1), word[which]] + _U(1)) * power
+            power = _U(int(power) * int(_BASE) & 0xFFFFFFFFFFFFFFFF)
+            held = self.ends[h * _BASE >> _U(42)]
+            which, h = which[held], h[held]
+            if not len(which):
+                return
+            mine, some, found = h, which, []
+            for k, table in enumerate(self.tables):
+                piece = table[self._place(mine, k)]
+                some, mine, piece = (x[piece >= 0] for x in (some, mine, piece))
+                same = self.hashes[piece] == mine
+                found.append((some[same], piece[same]))
+                some, mine = some[~same], mine[~same]
+            ends, piece = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            same = np.ones(len(ends), bool) if size == self.longest else self.codes[size, piece] == _PAD
+            for k in range(size):
+                same &= codes[at[ends] - (size - 1) + k, word[ends]] == self.codes[k, piece]
+            ends, piece = ends[same], piece[same]
+            order = np.argsort(ends, kind="stable")
+            yield size, ends[order], piece[order]
+
+
 class Trie:
     """Words by prefix; each node has the best forward score of its prefix and the tokens of the split that has it.
 
     The score of a prefix is the greatest sum of log probabilities over its
     splits into pieces, and of equal ones the split of fewest tokens counts.
     It depends on the prefix alone, so words that share one share its score. A
-    character that no piece covers is as many tokens as it has bytes.
+    character that no piece covers is as many tokens as it has bytes. The nodes of
+    many words are made together, in order of depth.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.logs, self.unknown, self.longest = vocabulary.logs, vocabulary.unknown, vocabulary.longest
         # no piece ends in a string that isn't one of these
         self.ends = {x[k:] for x in self.logs for k in range(len(x))}
+        names = [x for x in self.logs if x]
+        self.pieces, self.chances = Pieces(names), np.array([self.logs[x] for x in names])
         self.terminals: dict[str, int] = {}
         self.computed = 0  # forward scores so far
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.last, self.nodes = "", [0]  # the word before and its nodes
-        self.state: list[tuple[float, int]] = [(0.0, 0)]  # (score, -tokens): the greater pair is the better split
 
     def _step(self, word: str, at: int, path: list[tuple[float, int]]) -> tuple[float, int]:
-        """The state of word[:at + 1] from those of the shorter prefixes in ``path``."""
+        """The state of word[:at + 1] from those of the shorter prefixes in ``path``: (score, -tokens), of which the greater pair is the better split."""
         char = word[at]
         best = (-math.inf, 0)
         if char not in self.logs:
@@ -271,40 +328,69 @@ class Trie:
         self.computed += 1
         return best
 
-    def insert(self, word: str) -> int:
-        """Adds a word and stores its number of tokens at its end."""
-        child, state = self.child, self.state
-        if len(word) > 64:  # it shares little; it doesn't stay
-            path = [state[0]]
-            for at in range(len(word)):
-                path.append(self._step(word, at, path))
-            return -path[-1][1]
-        # words come in order: start where this one leaves the one before
-        last, at, most = self.last, 0, min(len(word), len(self.last))
-        while at < most and word[at] == last[at]:
-            at += 1
-        nodes = self.nodes[: at + 1]
-        path = [state[k] for k in nodes]
-        for at in range(at, len(word)):
-            key = nodes[at], word[at]
-            to = child.get(key)
-            if to is None:
-                to = child[key] = len(state)
-                state.append(self._step(word, at, path))
-            nodes.append(to)
-            path.append(state[to])
-        self.last, self.nodes = word, nodes
+    def _alone(self, word: str) -> int:
+        """Tokens of a long word, which shares little."""
+        path = [(0.0, 0)]
+        for at in range(len(word)):
+            path.append(self._step(word, at, path))
         return -path[-1][1]
 
+    def _together(self, words: list[str]) -> list[int]:
+        """Tokens of distinct words in order, none of them empty or long."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = _code_points(words, int(sizes.max()))
+        # a word starts where it leaves the one before
+        leaves = np.zeros(len(words), np.int64)
+        leaves[1:] = (codes[:, 1:] != codes[:, :-1]).argmax(0)
+        depth = np.arange(len(codes))[:, None]
+        new = (depth < sizes) & (depth >= leaves)
+        at, word = np.nonzero(new)
+        node = np.zeros((len(codes) + 1, len(words)), np.int64)  # of each prefix; the empty one's is 0
+        node[1:] = np.cumsum(new).reshape(new.shape)
+        bounds = np.searchsorted(at, np.arange(len(codes) + 1))
+        self.computed += len(at)
+
+        char = codes[at, word]
+        n = 1 + (char >= 0x80).astype(np.int64) + (char >= 0x800) + (char >= 0x10000)
+        ending = [(size, which, self.chances[piece], node[at[which] + 1 - size, word[which]], np.searchsorted(which, bounds)) for size, which, piece in self.pieces.ending(codes, at, word)]
+        known = np.zeros(len(at), bool)
+        for size, which, *_ in ending[:1]:
+            if size == 1:
+                known[which] = True
+        score, tokens = np.zeros(len(at) + 1), np.zeros(len(at) + 1, np.int64)
+        before = node[at, word]
+        for d, (a, z) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            best = np.where(known[a:z], -np.inf, score[before[a:z]] + n[a:z] * self.unknown)
+            fewest = np.where(known[a:z], 0, tokens[before[a:z]] - n[a:z])
+            for _, which, log, start, cut in ending:
+                b, y = cut[d], cut[d + 1]
+                if b == y:
+                    continue
+                to, of = which[b:y] - a, start[b:y]
+                s, t = score[of] + log[b:y], tokens[of] - 1
+                had = best[to]
+                better = (s > had) | ((s == had) & (t > fewest[to]))
+                best[to[better]], fewest[to[better]] = s[better], t[better]
+            score[a + 1 : z + 1], tokens[a + 1 : z + 1] = best, fewest
+        return (-tokens[node[sizes, np.arange(len(words))]]).tolist()
+
     def count(self, words: list[list[str]]) -> list[int]:
         """Tokens of each list of words."""
         if len(self.terminals) > WORDS:
             self.terminals.clear()
         known = self.terminals
+        some, held = [], 0
         for w in sorted(set().union(*words) - known.keys()):
-            known[w] = self.insert(w)
-            if len(self.state) > NODES:
-                self.clear()
+            if not 0 < len(w) <= _LONG:
+                known[w] = self._alone(w)
+                continue
+            some.append(w)
+            held += len(w)
+            if held > NODES or len(some) >= _SOME:
+                known.update(zip(some, self._together(some), strict=True))
+                some, held = [], 0
+        if some:
+            known.update(zip(some, self._together(some), strict=True))
         return [sum(map(known.__getitem__, x)) for x in words]
 
 
@@ -372,8 +458,8 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(model)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
                 words = [pre_tokens(t or "") for t in part.column(1).to_pylist()]
                 yield batch(schema, doc_id=part.column(0), n_pre_tokens=[len(w) for w in words], n_tokens=np.array(trie.count(words), np.int64))
 

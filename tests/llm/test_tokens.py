@@ -149,3 +149,14 @@ def test_sums_of_many_words_at_a_time():
     seen = T.np.zeros(len(pieces))
     T.Lattice(pieces, 1e-9).expect(list(words), T.np.array(list(words.values())), T.np.array(list(p.values())), seen)
     assert seen.tolist() == pytest.approx([want[x] for x in pieces], rel=1e-9)
+
+
+def test_nodes_are_made_together(monkeypatch):
+    r = random.Random(4)
+    words = ["▁" + "".join(r.choices("aabbcéz漢😀", k=r.randrange(0, 11))) for _ in range(400)]
+    want = [brute(w, V) for w in words]
+    monkeypatch.setattr(T.Trie, "_step", None)  # only long words go character by character
+    assert T.Trie(V).count([[w] for w in words]) == want
+    monkeypatch.setattr(T, "_SOME", 7)
+    assert T.Trie(V).count([[w] for w in words]) == want
+    assert T.Trie(T.Vocabulary({}, -3.0)).count([["aé"]]) == [3]
