@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LAST_ID, batch, checkpointed, shuffle_partitions, stored
@@ -214,6 +214,12 @@ def _pairs(joined: DataFrame, similarity: float, *, whole: bool = False) -> Data
     return checkpointed(counted.where("fit AND c >= must").select("a", "b"))
 
 
+def _reachable(similarity: float) -> Column:
+    """Whether postings (at, place) leave room for the similarity: sets share at most the lesser number before a shared shingle, and the lesser from it on. It holds at each shingle that similar sets share."""
+    most = F.least("at", "place") + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place"))
+    return most >= similarity / (1 + similarity) * (F.col("n") + F.col("m")) - _ROUNDING
+
+
 def _crowded(posts: DataFrame, dense: float) -> DataFrame:
     """(gram, pairs) of the lists with more than ``dense`` pairs across groups a member."""
     groups = posts.groupBy("gram", "component").agg(F.count("*").cast("double").alias("c"))
@@ -267,7 +273,8 @@ def similar_groups(prefixes: DataFrame, docs: DataFrame, similarity: float = 0.8
     several = posts.groupBy("gram").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("gram")
     posts = checkpointed(posts.join(several, "gram"))
     other = posts.select("gram", F.col("key").alias("other"), F.col("n").alias("m"), F.col("at").alias("place"), F.col("component").alias("its"))
-    found = _verified(_pairs(posts.join(other, "gram").where("component < its"), similarity, whole=True), nodes, texts, similarity, words)
+    met = posts.join(other, "gram").where(F.expr("component < its") & _reachable(similarity))
+    found = _verified(_pairs(met, similarity, whole=True), nodes, texts, similarity, words)
     return connected_components(found if links is None else links.unionByName(found))
 
 

@@ -100,3 +100,19 @@ def test_source_of_near_copies_heads_their_lists(spark, monkeypatch):
     monkeypatch.setattr(near, "_verified", spy)
     found = near.similar_groups(sets, docs).collect()
     assert len(found) == 61 and len({x.component for x in found}) == 1 and sum(met) < 61 * 60 / 2
+
+
+def test_reachable_holds_where_similar_sets_meet(spark):
+    r, rows, similar = random.Random(9), [], set()
+    for k in range(400):
+        a = set(r.sample(range(60), r.randrange(5, 40)))
+        b = {x for x in a if r.random() < 0.95} | set(r.sample(range(60), r.randrange(0, 12)))
+        if len(a & b) >= 0.8 * len(a | b):
+            similar.add(k)
+        x, y = sorted(a), sorted(b)
+        rows += [(k, len(x), x.index(g), len(y), y.index(g)) for g in a & b]
+    met = spark.createDataFrame(rows, "k long, n int, at int, m int, place int")
+    left = {x.k: x["count"] for x in met.where(near._reachable(0.8)).groupBy("k").count().collect()}
+    whole = {x.k: x["count"] for x in met.groupBy("k").count().collect()}
+    assert similar and all(left[k] == whole[k] for k in similar)
+    assert sum(left.values()) < sum(whole.values())
